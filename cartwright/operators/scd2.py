@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.config import RuleBook
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, spread_join
 
+_KEY = "__open_key"
 _HIT = "__in_batch"
 
 # Columns of the three history tables, before the SCD2 columns.
@@ -67,12 +68,6 @@ def stamp_current(batch: DataFrame, rules: RuleBook) -> DataFrame:
     )
 
 
-def _expirable(key: str, guard: bool) -> Column:
-    """Rows a batch may touch: a NULL key is in no batch, and a guard spares closed rows."""
-    touchable = F.col(key).isNotNull()
-    return touchable & F.coalesce(F.col("is_current"), F.lit(False)) if guard else touchable
-
-
 def _batch_keys(batch: DataFrame, key: str) -> DataFrame:
     return batch.select(key).filter(F.col(key).isNotNull()).distinct()
 
@@ -85,24 +80,22 @@ def scd2_apply(
     guard: bool = True,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
-    """The complete history after ``batch``.
+    """The history after ``batch``.
 
     Rows of ``target`` whose key is in the batch are closed at ``as_of``; all batch rows are added as
-    current, without change detection and without removing duplicates. Only rows that a batch can
-    touch take part in the join.
+    current, without change detection and without removing duplicates. A NULL key is in no batch,
+    and the guard spares rows that were closed before. Such rows join on a NULL and so match
+    nothing. A caller that stores closed rows apart need not pass them under the guard.
     """
-    touchable = target.filter(_expirable(key, guard))
-    keys = _batch_keys(batch, key).withColumn(_HIT, F.lit(True))
-    marked = spread_join(touchable, keys, key, "left", policy=policy)
+    touchable = F.coalesce(F.col("is_current"), F.lit(False)) if guard else F.lit(True)
+    marked = target.withColumn(_KEY, F.when(touchable, F.col(key)))
+    keys = _batch_keys(batch, key).select(F.col(key).alias(_KEY), F.lit(True).alias(_HIT))
+    joined = spread_join(marked, keys, _KEY, "left", policy=policy)
     hit = F.col(_HIT).isNotNull()
-    updated = marked.withColumns(
+    updated = joined.withColumns(
         {
             "expiry_date": F.when(hit, rules.today()).otherwise(F.col("expiry_date")),
             "is_current": F.when(hit, F.lit(False)).otherwise(F.col("is_current")),
         }
-    ).drop(_HIT)
-    return (
-        target.filter(~_expirable(key, guard))
-        .unionByName(updated)
-        .unionByName(stamp_current(batch, rules))
-    )
+    ).drop(_KEY, _HIT)
+    return updated.unionByName(stamp_current(batch, rules))

@@ -21,7 +21,7 @@ from cartwright.config import RuleBook, v1_rules, v2_rules
 from cartwright.operators import enrich, quality, scd2, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.sinks.process_log import log_rows
-from cartwright.sources.sample import AS_OF, raw_views, sample_rules
+from cartwright.sources.sample import AS_OF, raw_view, raw_views, sample_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,9 +58,16 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def sample_stages(spark: SparkSession, directory: str, rules: RuleBook) -> dict[str, DataFrame]:
-    raw = raw_views(spark, directory)
-    return {domain: stage.stage_rows(raw[domain], domain, rules) for domain in schemas.DOMAINS}
+def sample_stages(
+    spark: SparkSession,
+    directory: str,
+    rules: RuleBook,
+    domains: tuple[str, ...] = schemas.DOMAINS,
+) -> dict[str, DataFrame]:
+    return {
+        domain: stage.stage_rows(raw_view(spark, directory, domain), domain, rules)
+        for domain in domains
+    }
 
 
 def sample_fact(
@@ -74,7 +81,7 @@ def sample_fact(
 
 
 def _stamped(spark: SparkSession, directory: str, domain: str, rules: RuleBook) -> DataFrame:
-    return stage.stamp(raw_views(spark, directory)[domain], domain, rules)
+    return stage.stamp(raw_view(spark, directory, domain), domain, rules)
 
 
 def _valid(domain: str) -> Query:
@@ -82,7 +89,7 @@ def _valid(domain: str) -> Query:
 
 
 def _rejected(domain: str, rules: RuleBook) -> Query:
-    return lambda spark, d: plain(stage.error_rows(raw_views(spark, d)[domain], domain, rules))
+    return lambda spark, d: plain(stage.error_rows(raw_view(spark, d, domain), domain, rules))
 
 
 def _report(domain: str, rules: RuleBook) -> Query:
@@ -92,7 +99,7 @@ def _report(domain: str, rules: RuleBook) -> Query:
 
 
 def _staged(domain: str, rules: RuleBook) -> Query:
-    return lambda spark, d: plain(stage.stage_rows(raw_views(spark, d)[domain], domain, rules))
+    return lambda spark, d: plain(stage.stage_rows(raw_view(spark, d, domain), domain, rules))
 
 
 def _offenders(check: str, rules: RuleBook) -> Query:
@@ -180,21 +187,28 @@ _LOADS = {
 }
 
 
-def _history(table: str, rules: RuleBook, loads: tuple[str, ...]) -> Query:
-    """History after several loads on consecutive days."""
+def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False) -> Query:
+    """History after one or two loads, the second on the day after the first.
+
+    With ``closed`` the history already holds versions that were closed a month earlier.
+    """
+    history = scd2.HISTORIES[table]
+    second_day = replace(rules, as_of=AS_OF + dt.timedelta(days=1))
 
     def query(spark: SparkSession, directory: str) -> DataFrame:
-        history = scd2.HISTORIES[table]
-        state: DataFrame | None = None
-        for day, when in enumerate(loads):
-            today = replace(rules, as_of=AS_OF + dt.timedelta(days=day))
-            # The rows are computed as of the sample's day; only the history moves on.
-            batch = history.batch(_LOADS[table](spark, directory, rules, when))
-            if state is None:
-                state = scd2.stamp_current(batch, today)
-            else:
-                guard = history.guarded(rules)
-                state = scd2.scd2_apply(state, batch, history.key, today, guard)
+        # The rows themselves are computed as of the sample's day; only the history moves on.
+        first = history.batch(_LOADS[table](spark, directory, rules, FIRST_LOAD))
+        state = scd2.stamp_current(first, rules)
+        if closed:
+            month_ago = F.lit(AS_OF - dt.timedelta(days=30))
+            older = {"effective_date": month_ago, "expiry_date": F.lit(AS_OF)}
+            state = state.unionByName(
+                state.withColumns({**older, "is_current": F.lit(False)})
+            )
+        if load_twice:
+            batch = history.batch(_LOADS[table](spark, directory, rules, SECOND_LOAD))
+            guard = history.guarded(rules)
+            state = scd2.scd2_apply(state, batch, history.key, second_day, guard)
         return plain(state)
 
     return query
@@ -249,13 +263,11 @@ def queries() -> dict[str, Query]:
 
     for name in ("orders", "customers", "products"):
         table = f"{name}_target"
-        named[f"scd2_{name}_first"] = _history(table, V2, (FIRST_LOAD,))
-        named[f"scd2_{name}_second"] = _history(table, V2, (FIRST_LOAD, SECOND_LOAD))
-    named["scd2_customers_third"] = _history(
-        "customers_target", V2, (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD)
-    )
+        named[f"scd2_{name}_first"] = _history(table, V2, load_twice=False)
+        named[f"scd2_{name}_second"] = _history(table, V2, load_twice=True)
+    named["scd2_customers_closed"] = _history("customers_target", V2, True, closed=True)
 
-    for domain in ("orders", "customers", "products", "inventory", "shipping"):
+    for domain in schemas.DOMAINS:
         named[f"v1_{domain}_rejected"] = _rejected(domain, V1)
     named["v1_bad_email_phone"] = _report("customers", V1)
     named["v1_customers_stage"] = _staged("customers", V1)
@@ -273,10 +285,6 @@ def queries() -> dict[str, Query]:
     named["v1_seasonal_analysis"] = lambda spark, d: plain(
         summary.seasonal_analysis(sample_fact(spark, d, V1)[0])
     )
-    named["v1_scd2_customers"] = _history(
-        "customers_target", V1, (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD)
-    )
-    named["v1_scd2_products"] = _history(
-        "products_target", V1, (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD)
-    )
+    for name in ("orders", "customers", "products"):
+        named[f"v1_scd2_{name}"] = _history(f"{name}_target", V1, True, closed=True)
     return named

@@ -373,27 +373,31 @@ for _version in ("", "v1_"):
             )
 
 
-def history(version: str, name: str, loads: tuple[str, ...], guard: bool) -> str:
-    """States after each load, nested; every load happens one day after the one before."""
+def history(
+    version: str, name: str, load_twice: bool, guard: bool = True, closed: bool = False
+) -> str:
+    """History after one or two loads on consecutive days, with or without older closed rows."""
     key = f"{name[:-1]}_id"
-    state = ""
-    for day, load in enumerate(loads):
-        today = f"CAST({DAY} + {day} AS DATE)"
-        batch = f"{version}{name}_{load}"
-        added = (
-            f"SELECT *, {today} AS effective_date, CAST(NULL AS DATE) AS expiry_date,"
-            f" true AS is_current FROM {batch}"
+
+    def version_of(load: str, start: str, end: str, current: str) -> str:
+        return (
+            f"SELECT *, CAST({start} AS DATE) AS effective_date, CAST({end} AS DATE)"
+            f" AS expiry_date, {current} AS is_current FROM {version}{name}_{load}"
         )
-        if not state:
-            state = added
-            continue
+
+    state = version_of("first", DAY, "NULL", "true")
+    if closed:
+        state += " UNION ALL " + version_of("first", f"{DAY} - 30", DAY, "false")
+    if load_twice:
+        today = f"CAST({DAY} + 1 AS DATE)"
+        batch = f"{version}{name}_second"
         hit = f"{key} IN (SELECT {key} FROM {batch} WHERE {key} IS NOT NULL)"
         if guard:
             hit = f"is_current AND {hit}"
         state = f"""
         SELECT * REPLACE (CASE WHEN {hit} THEN {today} ELSE expiry_date END AS expiry_date,
                           CASE WHEN {hit} THEN false ELSE is_current END AS is_current)
-        FROM ({state}) h{day} UNION ALL {added}"""
+        FROM ({state}) h0 UNION ALL {version_of("second", today, "NULL", "true")}"""
     return f"({state}) h"
 
 
@@ -762,18 +766,15 @@ def _finals() -> dict[str, str]:
         "product_analytics",
     )
     for name in HISTORY_COLUMNS:
-        for label, loads in (("first", ("first",)), ("second", ("first", "second"))):
-            q[f"scd2_{name}_{label}"] = export(
-                history("", name, loads, guard=True), HISTORY_EXPORT[name]
-            )
-    again = ("first", "second", "second")
-    q["scd2_customers_third"] = export(
-        history("", "customers", again, guard=True), HISTORY_EXPORT["customers"]
-    )
-    for name in ("customers", "products"):
+        for label, load_twice in (("first", False), ("second", True)):
+            q[f"scd2_{name}_{label}"] = export(history("", name, load_twice), HISTORY_EXPORT[name])
+        # The older rules spare closed rows of orders only.
         q[f"v1_scd2_{name}"] = export(
-            history("v1_", name, again, guard=False), HISTORY_EXPORT[name]
+            history("v1_", name, True, guard=name == "orders", closed=True), HISTORY_EXPORT[name]
         )
+    q["scd2_customers_closed"] = export(
+        history("", "customers", True, closed=True), HISTORY_EXPORT["customers"]
+    )
     q["v1_bad_email_phone"] = quality_report(
         "customers", V1_CUSTOMER_COUNTERS, VALID["customers"], V1_REJECTED["customers"]
     )

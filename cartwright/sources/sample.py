@@ -99,7 +99,13 @@ SELECT CASE WHEN o_orderkey%131=130 THEN NULL ELSE 'SH'||o_orderkey END AS shipp
 FROM orders
 """
 
-SQL = {"orders": ORDERS, "customers": CUSTOMERS, "products": PRODUCTS, "inventory": INVENTORY, "shipping": SHIPPING}
+SQL = {
+    "orders": ORDERS,
+    "customers": CUSTOMERS,
+    "products": PRODUCTS,
+    "inventory": INVENTORY,
+    "shipping": SHIPPING,
+}
 
 # Tables each view reads.
 INPUTS = {
@@ -111,12 +117,16 @@ INPUTS = {
 }
 
 
-def raw_views(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The raw domains over the parquet tables of ``directory``."""
-    for name in {name for names in INPUTS.values() for name in names}:
+def raw_view(spark: SparkSession, directory: str, domain: str) -> DataFrame:
+    """One raw domain over the parquet tables of ``directory``."""
+    for name in INPUTS[domain]:
         table = spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
         table.createOrReplaceTempView(name)
-    return {domain: spark.sql(text) for domain, text in SQL.items()}
+    return spark.sql(SQL[domain])
+
+
+def raw_views(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    return {domain: raw_view(spark, directory, domain) for domain in SQL}
 
 
 def sample_rules(rules: RuleBook) -> RuleBook:
