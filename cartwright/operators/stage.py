@@ -41,10 +41,13 @@ def derive(valid: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
     return add_layers(valid, LAYERS[domain](rules))
 
 
+def accept_and_derive(stamped: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
+    return derive(quality.accept(stamped, domain, rules), domain, rules)
+
+
 def stage_rows(raw: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
     """Valid rows with metadata and derived columns: the content of ``<domain>_stage``."""
-    stamped = stamp(raw, domain, rules)
-    return derive(quality.accept(stamped, domain, rules), domain, rules)
+    return accept_and_derive(stamp(raw, domain, rules), domain, rules)
 
 
 def error_rows(raw: DataFrame, domain: str, rules: RuleBook) -> DataFrame:

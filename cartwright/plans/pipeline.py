@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -12,13 +15,15 @@ from cartwright import schemas
 from cartwright.config import RuleBook
 from cartwright.operators import enrich, quality, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
-from cartwright.operators.scd2 import HISTORIES
+from cartwright.operators.scd2 import HISTORIES, History
 from cartwright.sinks.archive import archive_csv
 from cartwright.sinks.history import HistoryStore
 from cartwright.sinks.process_log import FROM_COUNTS, log_row
 from cartwright.sources.files import scan_csv
 from cartwright.sources.tables import TableStore
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class Folders:
@@ -36,7 +41,11 @@ class LoadCounts:
 
 
 def write_split(
-    raw: DataFrame, domain: str, rules: RuleBook, save_stage, save_errors
+    raw: DataFrame,
+    domain: str,
+    rules: RuleBook,
+    save_stage: Callable[[DataFrame], None],
+    save_errors: Callable[[DataFrame], None],
 ) -> dict[str, int]:
     """Write stage and error rows of a scan and return its counters.
 
@@ -48,13 +57,23 @@ def write_split(
     stamped = stage.stamp(raw, domain, rules).observe(
         observation, *quality.counters(domain, rules)
     )
-    save_stage(stage.derive(quality.accept(stamped, domain, rules), domain, rules))
+    save_stage(stage.accept_and_derive(stamped, domain, rules))
     counts = observation.get
     if counts["invalid_records"] > 0:
         save_errors(stage.error_rows(raw, domain, rules))
     return counts
 
 
+def concurrently(spark: SparkSession, work: list[Callable[[], T]]) -> list[T]:
+    """Run independent Spark actions side by side, so that one fills the idle tail of another."""
+
+    def call(item: Callable[[], T]) -> T:
+        return item()
+
+    with ThreadPoolExecutor(max_workers=len(work)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(call), work))
+
+
 class Pipeline:
     """A run over ``tables`` with history below ``history_root`` (a directory all executors reach)."""
 
@@ -103,9 +122,7 @@ class Pipeline:
 
     def load_all(self) -> list[LoadCounts]:
         """All domains at once; the log is written afterwards, by one writer."""
-        work = inheritable_thread_target(self.spark)(self.load)
-        with ThreadPoolExecutor(max_workers=len(schemas.DOMAINS)) as pool:
-            loads = list(pool.map(work, schemas.DOMAINS))
+        loads = concurrently(self.spark, [partial(self.load, d) for d in schemas.DOMAINS])
         for done in loads:
             self.log(
                 f"{done.domain}_stage_load",
@@ -150,10 +167,15 @@ class Pipeline:
         )
         fact = self.tables.read("enriched_orders")
         customers = enrich.customer_analytics(fact, stages["customers"], rules)
-        self.tables.overwrite(customers, "customer_analytics")
         products = enrich.product_analytics(fact, stages["products"], rules)
-        self.tables.overwrite(products, "product_analytics")
-        rows = fact.count()
+        *_, rows = concurrently(
+            self.spark,
+            [
+                partial(self.tables.overwrite, customers, "customer_analytics"),
+                partial(self.tables.overwrite, products, "product_analytics"),
+                fact.count,
+            ],
+        )
         if rules.is_v1:
             self.log("data_enrichment", status="SUCCESS")
         else:
@@ -163,9 +185,11 @@ class Pipeline:
     def merge(self) -> Row:
         """Extend the three histories, write the four reports and return the global summary."""
         rules, tables = self.rules, self.tables
-        for table, history in HISTORIES.items():
+
+        def extend(table: str, history: History) -> None:
             batch = history.batch(tables.read(history.source))
             self.history(table).merge(batch, history, rules, self.policy)
+
         fact = tables.read("enriched_orders")
         reports = {
             "analytics_summary": summary.analytics_summary(fact, rules),
@@ -173,8 +197,13 @@ class Pipeline:
             "segment_analysis": summary.segment_analysis(tables.read("customer_analytics")),
             "category_analysis": summary.category_analysis(tables.read("product_analytics")),
         }
-        for table, report in reports.items():
-            tables.overwrite(report, table)
+        concurrently(
+            self.spark,
+            [
+                *(partial(extend, table, history) for table, history in HISTORIES.items()),
+                *(partial(tables.overwrite, report, table) for table, report in reports.items()),
+            ],
+        )
         totals = tables.read("analytics_summary").first()
         orders = totals["total_orders"]
         if rules.is_v1:
