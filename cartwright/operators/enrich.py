@@ -105,6 +105,7 @@ def customer_analytics(
     enriched: DataFrame,
     customers: DataFrame,
     rules: RuleBook,
+    policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     per_customer = enriched.groupBy("customer_id").agg(
         *_sales("total_orders", "total_spent", "avg_order_value", "total_profit_generated"),
@@ -113,8 +114,10 @@ def customer_analytics(
         F.countDistinct("category").alias("unique_categories_purchased"),
         F.avg("estimated_clv").alias("avg_estimated_clv"),
     )
-    # The left side has one row per key after the aggregation, so a plain join cannot be skewed.
-    joined = per_customer.join(prefixed(customers, "customers", rules), "customer_id", "left")
+    details = prefixed(customers, "customers", rules)
+    joined = spread_join(
+        per_customer, details, "customer_id", "left", policy=policy, left_unique=True
+    )
     return add_layers(joined, metrics.customer_analytics_layers(rules))
 
 
@@ -122,6 +125,7 @@ def product_analytics(
     enriched: DataFrame,
     products: DataFrame,
     rules: RuleBook,
+    policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Orders without a product form one group under a NULL ``product_id``."""
     per_product = enriched.groupBy("product_id").agg(
@@ -129,5 +133,8 @@ def product_analytics(
         *_order_span(),
         F.countDistinct("customer_id").alias("unique_customers"),
     )
-    joined = per_product.join(prefixed(products, "products", rules), "product_id", "left")
+    details = prefixed(products, "products", rules)
+    joined = spread_join(
+        per_product, details, "product_id", "left", policy=policy, left_unique=True
+    )
     return add_layers(joined, metrics.product_analytics_layers(rules))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from operator import mul
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -27,9 +28,10 @@ _LEFT_CELL = "__cell_l"
 class SkewPolicy:
     """When and how finely hot keys are spread.
 
-    ``rows_per_cell`` is the number of rows of one key that a single task may hold. At most
-    ``hot_keys`` keys, the most frequent ones, are spread; this bounds the table of hot keys that
-    is broadcast. A key beyond them has at most 1/``hot_keys`` of the rows and is joined as usual.
+    A key is hot when its rows on all sides multiply to more than ``rows_per_cell``, and it is cut
+    so that no cell yields more joined rows than that. At most ``hot_keys`` keys, the heaviest
+    ones, are spread; this bounds the table of hot keys that is broadcast. A key beyond them has at
+    most 1/``hot_keys`` of the joined rows and is joined as usual.
     """
 
     rows_per_cell: int = 1_000_000
@@ -59,29 +61,30 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(statistics.sizeInBytes())) <= limit
 
 
-def _cells_per_key(df: DataFrame, key: str, name: str, policy: SkewPolicy) -> DataFrame:
-    rows = F.count(F.lit(1))
-    cells = F.ceil(rows / F.lit(policy.rows_per_cell)).cast("int")
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(cells.alias(name))
-
-
-def _hot_keys(
-    left: DataFrame, rights: list[DataFrame], key: str, names: list[str], policy: SkewPolicy
-) -> DataFrame:
-    """The hottest keys of all sides with the number of cells each side cuts them into."""
-    profiles = [
-        _cells_per_key(side, key, "__n", policy)
-        .filter(F.col("__n") > 1)
-        .select(key, *(F.when(F.lit(name == own), F.col("__n")).alias(name) for name in names))
-        for side, own in zip([left, *rights], names)
+def _hot_keys(sides: dict[str, DataFrame], key: str, policy: SkewPolicy) -> DataFrame:
+    """The heaviest keys with the number of cells that each of the named sides cuts them into."""
+    names = list(sides)
+    counted = [
+        side.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+        for name, side in sides.items()
     ]
-    widest = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted)
+    rows = {name: F.greatest(F.coalesce(F.sum(name), F.lit(0)), F.lit(1)) for name in names}
+    totals = stacked.groupBy(key).agg(*(n.cast("double").alias(name) for name, n in rows.items()))
+    weight = reduce(mul, map(F.col, names))
+    # A side keeps its share of the limit, or more where the other sides are small. The rows that
+    # the sides keep per cell then multiply to at most the limit.
+    share = policy.rows_per_cell ** (1 / len(names))
+    kept = {
+        name: F.greatest(F.lit(share), F.lit(policy.rows_per_cell) * F.col(name) / weight)
+        for name in names
+    }
+    cells = [F.ceil(F.col(name) / kept[name]).cast("int").alias(name) for name in names]
     return (
-        reduce(DataFrame.unionByName, profiles)
-        .groupBy(key)
-        .agg(*(F.coalesce(F.max(name), F.lit(1)).alias(name) for name in names))
-        .orderBy(F.desc(widest), key)
+        totals.filter(weight > policy.rows_per_cell)
+        .orderBy(weight.desc(), key)
         .limit(policy.hot_keys)
+        .select(key, *cells)
     )
 
 
@@ -120,12 +123,14 @@ def spread_join(
     *,
     policy: SkewPolicy = DEFAULT_SKEW,
     left_keys: DataFrame | None = None,
+    left_unique: bool = False,
 ) -> DataFrame:
     """Join ``left`` with one or more sides on the column ``key`` (USING semantics).
 
     Several right sides share one placement of the left rows, so the left side is shuffled once
     for all of them. ``left_keys`` may name a cheaper frame with the key distribution of ``left``
-    (the table it was built from); it only steers the placement, not the result.
+    (the table it was built from), and ``left_unique`` tells that ``left`` has one row per key, so
+    that its keys need not be counted. Both only steer the placement, not the result.
 
     ``how`` is inner, left, left_semi or left_anti. NULL keys match nothing; they are spread as well.
     """
@@ -148,12 +153,12 @@ def spread_join(
         return left
 
     names = [_LEFT_CELL] + [f"__cell_r{i}" for i in range(len(pending))]
-    profiled = [] if existence else pending
-    hot = _hot_keys(
-        left if left_keys is None else left_keys, profiled, key, names[: len(profiled) + 1], policy
-    )
-    if existence:
-        hot = hot.withColumns({name: F.lit(1) for name in names[1:]})
+    # In an existence test the right keys are distinct, so only the left side is cut.
+    profiled = {} if existence else dict(zip(names[1:], pending))
+    if existence or not left_unique:
+        profiled = {names[0]: left if left_keys is None else left_keys, **profiled}
+    hot = _hot_keys(profiled, key, policy)
+    hot = hot.withColumns({name: F.lit(1) for name in names if name not in profiled})
     # Rows without a key never meet a partner, so any number of cells is exact for them.
     null_cells = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marks = [f"__match_r{i}" for i in range(len(pending))]

@@ -119,6 +119,25 @@ OFFENDERS: dict[str, Callable[..., DataFrame]] = {
     "stock_mismatch": stock_mismatch,
 }
 
+# The stage tables each check reads.
+DOMAINS_OF: dict[str, tuple[str, ...]] = {
+    "orphaned_orders": ("orders", "customers"),
+    "orphaned_customers": ("customers", "orders"),
+    "unreasonable_order_amounts": ("orders",),
+    "orders_invalid_product": ("orders", "products"),
+    "price_mismatch": ("orders", "products"),
+    "orders_without_shipping": ("orders", "shipping"),
+    "unreasonable_shipping_cost": ("shipping",),
+    "products_without_inventory": ("products", "inventory"),
+    "low_value_premium_orders": ("orders", "customers"),
+    "orders_outside_hours": ("orders",),
+    "discontinued_product_orders": ("orders", "products"),
+    "products_without_orders": ("products", "orders"),
+    "shipping_without_orders": ("shipping", "orders"),
+    "inventory_without_products": ("inventory", "products"),
+    "stock_mismatch": ("products", "inventory"),
+}
+
 
 # --- counts -------------------------------------------------------------------------------------
 

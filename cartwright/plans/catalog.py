@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,19 +38,21 @@ SECOND_LOAD = "order_date >= DATE'2000-07-01'"
 
 
 def plain(df: DataFrame) -> DataFrame:
-    def plain_column(field: T.StructField) -> Column:
-        column, kind = F.col(field.name), field.dataType
+    def plain_column(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, T.DecimalType):
-            column = (F.round(column, 6) if kind.scale > 6 else column).cast("double")
+            value = f"cast({f'round({name}, 6)' if kind.scale > 6 else name} AS double)"
         elif isinstance(kind, T.IntegerType):
-            column = column.cast("bigint")
+            value = f"cast({name} AS bigint)"
         elif isinstance(kind, T.TimestampType):
-            column = column.cast("string")
+            value = f"cast({name} AS string)"
         elif isinstance(kind, T.ArrayType):
-            column = F.array_join(column, "|")
-        return column.alias(field.name)
+            value = f"array_join({name}, '|')"
+        else:
+            value = name
+        return f"{value} AS {name}"
 
-    return df.select(*map(plain_column, df.schema))
+    return df.selectExpr(*map(plain_column, df.schema))
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -64,10 +66,8 @@ def sample_stages(
     rules: RuleBook,
     domains: tuple[str, ...] = schemas.DOMAINS,
 ) -> dict[str, DataFrame]:
-    return {
-        domain: stage.stage_rows(raw_view(spark, directory, domain), domain, rules)
-        for domain in domains
-    }
+    raw = raw_views(spark, directory, domains)
+    return {domain: stage.stage_rows(raw[domain], domain, rules) for domain in domains}
 
 
 def sample_fact(
@@ -103,8 +103,9 @@ def _staged(domain: str, rules: RuleBook) -> Query:
 
 
 def _offenders(check: str, rules: RuleBook) -> Query:
+    domains = validate.DOMAINS_OF[check]
     return lambda spark, d: plain(
-        validate.OFFENDERS[check](sample_stages(spark, d, rules), rules)
+        validate.OFFENDERS[check](sample_stages(spark, d, rules, domains), rules)
     )
 
 
@@ -166,17 +167,31 @@ def _fact(rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW) -> Query:
     return lambda spark, d: plain(sample_fact(spark, d, rules, policy)[0])
 
 
-def _customers(spark: SparkSession, directory: str, rules: RuleBook, when: str = "true"):
+def _customers(
+    spark: SparkSession,
+    directory: str,
+    rules: RuleBook,
+    when: str = "true",
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
     fact, stages = sample_fact(spark, directory, rules)
-    return enrich.customer_analytics(fact.filter(when), stages["customers"], rules)
+    return enrich.customer_analytics(fact.filter(when), stages["customers"], rules, policy)
 
 
-def _products(spark: SparkSession, directory: str, rules: RuleBook, when: str = "true"):
+def _products(
+    spark: SparkSession,
+    directory: str,
+    rules: RuleBook,
+    when: str = "true",
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
     fact, stages = sample_fact(spark, directory, rules)
-    return enrich.product_analytics(fact.filter(when), stages["products"], rules)
+    return enrich.product_analytics(fact.filter(when), stages["products"], rules, policy)
 
 
-def _orders(spark: SparkSession, directory: str, rules: RuleBook, when: str = "true"):
+def _orders(
+    spark: SparkSession, directory: str, rules: RuleBook, when: str = "true"
+) -> DataFrame:
     return sample_fact(spark, directory, rules)[0].filter(when)
 
 
@@ -249,6 +264,9 @@ def queries() -> dict[str, Query]:
     named["enriched_orders_spread"] = _fact(V2, FINE_SPREAD)
     named["customer_analytics"] = lambda spark, d: plain(_customers(spark, d, V2))
     named["product_analytics"] = lambda spark, d: plain(_products(spark, d, V2))
+    named["customer_analytics_spread"] = lambda spark, d: plain(
+        _customers(spark, d, V2, policy=FINE_SPREAD)
+    )
 
     named["analytics_summary"] = _summary(V2)
     named["seasonal_analysis"] = lambda spark, d: plain(

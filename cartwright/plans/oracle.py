@@ -751,6 +751,7 @@ def _finals() -> dict[str, str]:
             ("orders_count", "seasonal_revenue", "avg_seasonal_order_value"),
             f"{version}fact",
         )
+    q["customer_analytics_spread"] = q["customer_analytics"]
     q["segment_analysis"] = report(
         "customer_segment",
         "customer_id",

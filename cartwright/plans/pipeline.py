@@ -166,8 +166,8 @@ class Pipeline:
             enrich.enriched_orders(stages, rules, self.policy), "enriched_orders"
         )
         fact = self.tables.read("enriched_orders")
-        customers = enrich.customer_analytics(fact, stages["customers"], rules)
-        products = enrich.product_analytics(fact, stages["products"], rules)
+        customers = enrich.customer_analytics(fact, stages["customers"], rules, self.policy)
+        products = enrich.product_analytics(fact, stages["products"], rules, self.policy)
         *_, rows = concurrently(
             self.spark,
             [

@@ -7,6 +7,7 @@ range, keys without partner, several warehouses per product.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,16 +118,19 @@ INPUTS = {
 }
 
 
-def raw_view(spark: SparkSession, directory: str, domain: str) -> DataFrame:
-    """One raw domain over the parquet tables of ``directory``."""
-    for name in INPUTS[domain]:
+def raw_views(
+    spark: SparkSession, directory: str, domains: Iterable[str] = tuple(SQL)
+) -> dict[str, DataFrame]:
+    """The named raw domains over the parquet tables of ``directory``."""
+    domains = tuple(domains)
+    for name in {name for domain in domains for name in INPUTS[domain]}:
         table = spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
         table.createOrReplaceTempView(name)
-    return spark.sql(SQL[domain])
+    return {domain: spark.sql(SQL[domain]) for domain in domains}
 
 
-def raw_views(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {domain: raw_view(spark, directory, domain) for domain in SQL}
+def raw_view(spark: SparkSession, directory: str, domain: str) -> DataFrame:
+    return raw_views(spark, directory, [domain])[domain]
 
 
 def sample_rules(rules: RuleBook) -> RuleBook:

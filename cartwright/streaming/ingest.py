@@ -10,11 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwright.config import RuleBook
 from cartwright.plans.pipeline import write_split
+from cartwright.sinks.hadoop import Files
 from cartwright.sinks.process_log import log_row
 from cartwright.sources.files import stream_csv
 
@@ -47,9 +47,9 @@ class EpochStore:
 
     def latest(self, kind: str = "stage") -> DataFrame:
         """Rows of the newest epoch: what a batch run would have left in the stage table."""
-        rows = self.read(kind)
-        newest = rows.agg(F.max("epoch")).first()[0]
-        return rows.filter(F.col("epoch") == newest).drop("epoch")
+        epochs = Files(self.spark).names(self.path(kind))
+        newest = max(int(name.removeprefix("epoch=")) for name in epochs if "=" in name)
+        return self.spark.read.parquet(f"{self.path(kind)}/epoch={newest}")
 
 
 def ingest_available(

@@ -8,6 +8,7 @@ import pytest
 from cartwright.operators.joins import SkewPolicy, broadcastable, orphans, spread_join
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 FINE = SkewPolicy(rows_per_cell=3, hot_keys=2, always_spread=True)
 TYPES = ("inner", "left", "left_semi", "left_anti")
@@ -51,6 +52,14 @@ def test_hot_on_both_sides_with_copies(spark):
     assert bag(spread_join(a, [b, c], "k", "left", policy=FINE)) == bag(both)
 
 
+def test_unique_left_side_is_not_counted(spark):
+    a, b, c = frames(
+        spark, [("hot", 1), ("x", 1), ("z", 1), (None, 1)], [("hot", 2)] * 30 + [("x", 2)], []
+    )
+    got = spread_join(a, b, "k", "left", policy=FINE, left_unique=True)
+    assert bag(got) == bag(a.join(b, "k", "left"))
+
+
 def test_hot_key_is_cut_into_cells(spark):
     left = spark.range(0, 3000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', cast(id AS string)) AS k")
     right = spark.range(0, 3000, 1, 4).selectExpr("cast(id AS string) AS k", "id AS b")
@@ -60,6 +69,24 @@ def test_hot_key_is_cut_into_cells(spark):
     assert joined.filter("b IS NULL").count() == 0
 
 
+def test_a_third_of_all_rows_under_one_key_is_shared_by_all_tasks(spark):
+    hot = "if(id % 3 = 0, 'hot', cast(id AS string)) AS k"
+    left = spark.range(0, 30000, 1, 8).selectExpr(hot, "id AS a")
+    right = spark.range(0, 9000, 1, 8).selectExpr("cast(id AS string) AS k", "id AS b")
+    right = right.union(spark.sql("SELECT 'hot', -1L"))
+    missing = left.withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
+    policy = SkewPolicy(rows_per_cell=500, always_spread=True)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        for side in (left, missing):
+            joined = spread_join(side, right, "k", "left", policy=policy)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 30000 and max(sizes) < 1.5 * 30000 / 4
+    finally:
+        spark.conf.set(setting, "true")
+
+
 def test_small_sides_are_joined_without_spreading(spark):
     a = spark.sql("SELECT * FROM VALUES ('x', 1) AS t(k, a)")
     b = spark.sql("SELECT * FROM VALUES ('x', 2) AS t(k, b)")
