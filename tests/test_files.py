@@ -68,8 +68,8 @@ def test_empty_directory_gives_no_rows(spark, tmp_path):
         assert scan_csv(spark, domain, str(tmp_path)).count() == 0
 
 
-def test_schemas_have_the_agreed_width(spark):
-    widths = {d: len(scan_csv(spark, d, "/tmp").schema) for d in schemas.DOMAINS}
+def test_schemas_have_the_agreed_width(spark, tmp_path):
+    widths = {d: len(scan_csv(spark, d, str(tmp_path)).schema) for d in schemas.DOMAINS}
     assert widths == {
         "orders": 10, "customers": 15, "products": 16, "inventory": 12, "shipping": 16,
     }
