@@ -83,7 +83,7 @@ def pipeline(spark: SparkSession, home: str, name: str) -> Pipeline:
             header=True, timestampFormat="yyyy-MM-dd HH:mm:ss"
         ).csv(folders[domain].source)
     spark.sql(f"CREATE DATABASE {name}")
-    return Pipeline(TableStore(spark, name), folders, f"{home}/{name}/history", RULES)
+    return Pipeline(TableStore(spark, name), folders, f"{home}/{name}/store", RULES)
 
 
 def pipeline_times(spark: SparkSession, home: str) -> tuple[dict[str, float], Pipeline]:

@@ -81,7 +81,8 @@ def shipping_layers(rules: RuleBook) -> list[Layer]:
             "delivery_days": days_until(F.col("actual_delivery"), shipped_on),
             "estimated_delivery_days": days_until(F.col("estimated_delivery"), shipped_on),
             "cost_category": config.SHIPPING_COST.column(),
-            "cost_per_kg": F.col("shipping_cost") / F.col("package_weight"),
+            # Valid rows have a weight; a rejected one may not and must not fail the job.
+            "cost_per_kg": F.try_divide("shipping_cost", "package_weight"),
         },
         {"delivery_performance": config.DELIVERY.column()},
     ]

@@ -11,6 +11,10 @@ from cartwright.config import RuleBook
 from cartwright.functions import metrics
 from cartwright.operators import quality
 
+VERDICT = "verdict"
+VALID = "valid"
+REJECTED = "rejected"
+
 LAYERS: dict[str, Callable[[RuleBook], list[metrics.Layer]]] = {
     "orders": lambda rules: [],
     "customers": metrics.customer_layers,
@@ -45,6 +49,18 @@ def accept_and_derive(stamped: DataFrame, domain: str, rules: RuleBook) -> DataF
     return derive(quality.accept(stamped, domain, rules), domain, rules)
 
 
+def judged_rows(stamped: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
+    """Valid and rejected rows together, told apart by ``verdict``; rows that are neither are gone.
+
+    The derived columns are filled on rejected rows too, which lets one write serve both.
+    """
+    verdict = F.when(quality.validity(domain, rules), VALID).when(
+        quality.rejection(domain, rules), REJECTED
+    )
+    judged = stamped.withColumn(VERDICT, verdict).filter(F.col(VERDICT).isNotNull())
+    return derive(judged, domain, rules)
+
+
 def stage_rows(raw: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
     """Valid rows with metadata and derived columns: the content of ``<domain>_stage``."""
     return accept_and_derive(stamp(raw, domain, rules), domain, rules)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from functools import partial
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from cartwright import schemas
 from cartwright.config import RuleBook
@@ -17,7 +18,9 @@ from cartwright.operators import enrich, quality, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.operators.scd2 import HISTORIES, History
 from cartwright.sinks.archive import archive_csv
+from cartwright.sinks.hadoop import Files
 from cartwright.sinks.history import HistoryStore
+from cartwright.sinks.landing import land, landed_schemas, part
 from cartwright.sinks.process_log import FROM_COUNTS, log_row
 from cartwright.sources.files import scan_csv
 from cartwright.sources.tables import TableStore
@@ -40,30 +43,6 @@ class LoadCounts:
     archived: int
 
 
-def write_split(
-    raw: DataFrame,
-    domain: str,
-    rules: RuleBook,
-    save_stage: Callable[[DataFrame], None],
-    save_errors: Callable[[DataFrame], None],
-) -> dict[str, int]:
-    """Write stage and error rows of a scan and return its counters.
-
-    The counters are observed by the job that writes the stage rows, so a clean input is read once;
-    only when rows were rejected is it read again, for them alone. The job has no shuffle, and Spark
-    counts each of its tasks once even if one is repeated, so the observed numbers are exact.
-    """
-    observation = Observation(f"{domain}_quality")
-    stamped = stage.stamp(raw, domain, rules).observe(
-        observation, *quality.counters(domain, rules)
-    )
-    save_stage(stage.accept_and_derive(stamped, domain, rules))
-    counts = observation.get
-    if counts["invalid_records"] > 0:
-        save_errors(stage.error_rows(raw, domain, rules))
-    return counts
-
-
 def concurrently(spark: SparkSession, work: list[Callable[[], T]]) -> list[T]:
     """Run independent Spark actions side by side, so that one fills the idle tail of another."""
 
@@ -75,25 +54,28 @@ def concurrently(spark: SparkSession, work: list[Callable[[], T]]) -> list[T]:
 
 
 class Pipeline:
-    """A run over ``tables`` with history below ``history_root`` (a directory all executors reach)."""
+    """A run over ``tables``.
+
+    Stage rows and histories are kept below ``root``, a directory that all executors can reach.
+    """
 
     def __init__(
         self,
         tables: TableStore,
         folders: dict[str, Folders],
-        history_root: str,
+        root: str,
         rules: RuleBook,
         policy: SkewPolicy = DEFAULT_SKEW,
     ) -> None:
         self.spark: SparkSession = tables.spark
         self.tables = tables
         self.folders = folders
-        self.history_root = history_root.rstrip("/")
+        self.root = root.rstrip("/")
         self.rules = rules.pinned(self.spark)
         self.policy = policy
 
     def history(self, table: str) -> HistoryStore:
-        return HistoryStore(self.spark, f"{self.history_root}/{table}")
+        return HistoryStore(self.spark, f"{self.root}/history/{table}")
 
     def log(
         self,
@@ -108,16 +90,23 @@ class Pipeline:
         self.tables.append(row, "process_log")
 
     def load(self, domain: str) -> LoadCounts:
-        """Ingest one domain: overwrite its stage table, append its rejects, archive its files."""
-        raw = scan_csv(self.spark, domain, self.folders[domain].source)
-        counts = write_split(
-            raw,
-            domain,
-            self.rules,
-            lambda rows: self.tables.overwrite(rows, f"{domain}_stage"),
-            lambda rows: self.tables.append(rows, f"{domain}_errors"),
-        )
+        """Ingest one domain: replace its stage table, append its rejects, archive its files."""
+        rules, spark = self.rules, self.spark
+        raw = scan_csv(spark, domain, self.folders[domain].source)
+        home = f"{self.root}/landing/{domain}"
+        run = f"{rules.batch()}-{uuid.uuid4().hex[:8]}"
+        counts = land(raw, domain, rules, f"{home}/{run}")
+        valid, rejected = landed_schemas(spark, domain, rules)
+        self.tables.point(f"{domain}_stage", part(f"{home}/{run}", stage.VALID), valid)
+        if counts["invalid_records"] > 0:
+            rows = spark.read.schema(rejected).parquet(part(f"{home}/{run}", stage.REJECTED))
+            self.tables.append(quality.annotate_rejects(rows, rules), f"{domain}_errors")
         archived = archive_csv(raw, self.folders[domain].archive)
+        # The stage table shows this run alone, so the files of earlier runs have no reader left.
+        files = Files(spark)
+        for earlier in files.names(home):
+            if earlier != run:
+                files.remove(f"{home}/{earlier}")
         return LoadCounts(domain, counts, archived)
 
     def load_all(self) -> list[LoadCounts]:

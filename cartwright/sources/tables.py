@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,11 @@ class TableStore:
     def append(self, df: DataFrame, table: str) -> None:
         self._write(df, table, "append")
 
+    def point(self, table: str, path: str, schema: T.StructType) -> None:
+        """Make the table show the parquet files of ``path``, whatever it showed before."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.catalog.createTable(self.name(table), path, "parquet", schema)
+
     def create(self, df: DataFrame, table: str) -> None:
         """Write a new table; an existing one is an error."""
         self._write(df, table, "errorifexists")

@@ -10,11 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwright.config import RuleBook
-from cartwright.plans.pipeline import write_split
+from cartwright.operators import quality, stage
 from cartwright.sinks.hadoop import Files
+from cartwright.sinks.landing import land, landed_schemas
 from cartwright.sinks.process_log import log_row
 from cartwright.sources.files import stream_csv
 
@@ -35,21 +38,35 @@ class EpochStore:
     root: str
     domain: str
 
-    def path(self, kind: str) -> str:
-        return f"{self.root.rstrip('/')}/{self.domain}_{kind}"
-
-    def save(self, rows: DataFrame, kind: str, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path(kind)}/epoch={epoch}")
+    def path(self, kind: str, epoch: int | None = None) -> str:
+        path = f"{self.root.rstrip('/')}/{self.domain}_{kind}"
+        return path if epoch is None else f"{path}/epoch={epoch}"
+
+    def _landed(self, verdict: str, columns: T.StructType) -> DataFrame:
+        places = T.StructType().add("epoch", T.LongType()).add(stage.VERDICT, T.StringType())
+        schema = T.StructType([*columns.fields, *places.fields])
+        rows = self.spark.read.schema(schema).parquet(self.path("landed"))
+        return rows.filter(F.col(stage.VERDICT) == verdict).drop(stage.VERDICT)
+
+    def stage(self, rules: RuleBook) -> DataFrame:
+        """Valid rows of all epochs, with the epoch as a column."""
+        return self._landed(stage.VALID, landed_schemas(self.spark, self.domain, rules)[0])
+
+    def errors(self, rules: RuleBook) -> DataFrame:
+        """Rejected rows of all epochs, stamped with the time their epoch was processed."""
+        rows = self._landed(stage.REJECTED, landed_schemas(self.spark, self.domain, rules)[1])
+        return quality.annotate_rejects(rows, rules).withColumn(
+            "error_timestamp", F.col("processed_timestamp")
+        )
 
-    def read(self, kind: str) -> DataFrame:
-        """Rows of all epochs, with the epoch as a column."""
-        return self.spark.read.parquet(self.path(kind))
+    def log(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("log"))
 
-    def latest(self, kind: str = "stage") -> DataFrame:
-        """Rows of the newest epoch: what a batch run would have left in the stage table."""
-        epochs = Files(self.spark).names(self.path(kind))
-        newest = max(int(name.removeprefix("epoch=")) for name in epochs if "=" in name)
-        return self.spark.read.parquet(f"{self.path(kind)}/epoch={newest}")
+    def latest(self, rules: RuleBook) -> DataFrame:
+        """Valid rows of the newest epoch: what a batch run would have left in the stage table."""
+        names = Files(self.spark).names(self.path("landed"))
+        newest = max(int(name.removeprefix("epoch=")) for name in names if "=" in name)
+        return self.stage(rules).filter(F.col("epoch") == newest).drop("epoch")
 
 
 def ingest_available(
@@ -68,13 +85,7 @@ def ingest_available(
 
     def load(batch: DataFrame, epoch: int) -> None:
         pinned = rules.pinned(spark)
-        counts = write_split(
-            batch,
-            domain,
-            pinned,
-            lambda rows: store.save(rows, "stage", epoch),
-            lambda rows: store.save(rows, "errors", epoch),
-        )
+        counts = land(batch, domain, pinned, store.path("landed", epoch))
         row = log_row(
             spark,
             f"{domain}_stage_load",
@@ -84,7 +95,7 @@ def ingest_available(
             0,
             pinned,
         )
-        store.save(row, "log", epoch)
+        row.write.mode("overwrite").parquet(store.path("log", epoch))
 
     location = checkpoint or f"{checkpoint_root(spark)}/cartwright/{domain}_ingest"
     return (

@@ -12,6 +12,8 @@ from cartwright.operators import enrich, stage, validate
 from cartwright.operators.scd2 import HISTORIES
 from cartwright.plans.catalog import plain
 from cartwright.plans.pipeline import Folders, Pipeline
+from cartwright.sinks.landing import land
+from cartwright.sources.files import scan_csv
 from cartwright.sources.sample import raw_view, sample_rules
 from cartwright.sources.tables import TableStore
 
@@ -33,7 +35,7 @@ def setup(spark, data, tmp_path, database, rules):
     }
     for domain in schemas.DOMAINS:
         deliver(spark, data, folders[domain].source, domain)
-    return Pipeline(TableStore(spark, database), folders, str(tmp_path / "history"), rules)
+    return Pipeline(TableStore(spark, database), folders, str(tmp_path / "store"), rules)
 
 
 def test_run_equals_transforms_and_a_second_run_extends_history(spark, data, tmp_path, database):
@@ -83,7 +85,7 @@ def test_run_equals_transforms_and_a_second_run_extends_history(spark, data, tmp
     before = {t: first.history(t).read().count() for t in HISTORIES}
     later = sample_rules(v2_rules())
     later = type(later)(as_of=dt.date(2001, 8, 3), now=dt.datetime(2001, 8, 3, 9), batch_id="b2")
-    second = Pipeline(tables, folders, str(tmp_path / "history"), later)
+    second = Pipeline(tables, folders, str(tmp_path / "store"), later)
     second.run()
     for table, history in HISTORIES.items():
         rows = second.history(table).read()
@@ -126,9 +128,24 @@ def test_empty_source_overwrites_the_stage_with_nothing(spark, data, tmp_path, d
     again = run.load("products")
     assert again.counts["total_records"] == 0 and again.archived == 0
     assert run.tables.read("products_stage").count() == 0
+    assert len(list((tmp_path / "store" / "landing" / "products").iterdir())) == 1
     assert run.tables.read("products_errors").count() == 7
 
 
+def test_weightless_parcels_are_rejected_not_fatal(spark, tmp_path):
+    columns = [part.split()[0] for part in schemas.SHIPPING.replace("10,2", "").replace("8,2", "").split(",")]
+    row = dict.fromkeys(columns, "x") | {
+        "shipping_id": "s1", "shipping_cost": "1.00", "package_weight": "0", "insurance_value": "0",
+    }
+    (tmp_path / "in").mkdir()
+    text = ",".join(columns) + "\n" + ",".join(row[c] for c in columns) + "\n"
+    (tmp_path / "in" / "a.csv").write_text(text)
+    rules = sample_rules(v2_rules())
+    raw = scan_csv(spark, "shipping", str(tmp_path / "in"))
+    counts = land(raw, "shipping", rules, str(tmp_path / "out"))
+    assert (counts["valid_records"], counts["invalid_records"]) == (0, 1)
+
+
 def test_create_refuses_an_existing_table(spark, database):
     store = TableStore(spark, database)
     store.create(spark.range(1), "t")
