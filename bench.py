@@ -58,6 +58,7 @@ def session(home: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{home}/warehouse")
+        .config("spark.checkpoint.dir", f"{home}/checkpoints")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -60,6 +60,11 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a frame that is used several times once, if the session names a folder to keep it in."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+
+
 def sample_stages(
     spark: SparkSession,
     directory: str,
@@ -213,6 +218,7 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
     def query(spark: SparkSession, directory: str) -> DataFrame:
         # The rows themselves are computed as of the sample's day; only the history moves on.
         first = history.batch(_LOADS[table](spark, directory, rules, FIRST_LOAD))
+        first = settled(first) if load_twice else first
         state = scd2.stamp_current(first, rules)
         if closed:
             month_ago = F.lit(AS_OF - dt.timedelta(days=30))
@@ -221,7 +227,7 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
                 state.withColumns({**older, "is_current": F.lit(False)})
             )
         if load_twice:
-            batch = history.batch(_LOADS[table](spark, directory, rules, SECOND_LOAD))
+            batch = settled(history.batch(_LOADS[table](spark, directory, rules, SECOND_LOAD)))
             guard = history.guarded(rules)
             state = scd2.scd2_apply(state, batch, history.key, second_day, guard)
         return plain(state)
