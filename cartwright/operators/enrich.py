@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwright.config import RuleBook
 from cartwright.functions import metrics
-from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, spread_join
+from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, broadcastable, spread_join
 from cartwright.operators.stage import add_layers
 
 # Columns that carry the same name in several domains and the prefix they get.
@@ -60,9 +60,10 @@ def enriched_orders(
 ) -> DataFrame:
     """Orders left-joined with all other domains, plus the derived order columns.
 
-    An order repeats once per warehouse of its product and once per shipment. The narrow shipping
-    columns are joined first and the inventory fan-out last, next to the products on the same
-    placement, so that the widest and most numerous rows are never shuffled again.
+    An order repeats once per warehouse of its product and once per shipment. Of the sides that
+    need a shuffle, the narrow shipping columns are joined first and the inventory fan-out last,
+    next to the products on the same placement, so that the widest and most numerous rows are never
+    shuffled again. Sides that are broadcast come after them.
     """
     sides = {
         domain: prefixed(stages[domain], domain, rules)
@@ -72,15 +73,14 @@ def enriched_orders(
         sides["inventory"] = sides["inventory"].select("product_id", *INVENTORY_PAYLOAD)
         sides["shipping"] = sides["shipping"].select("order_id", *SHIPPING_PAYLOAD)
     orders = stages["orders"]
+    steps = {
+        "order_id": [sides["shipping"]],
+        "customer_id": [sides["customers"]],
+        "product_id": [sides["products"], sides["inventory"]],
+    }
     fact = orders
-    for key, domains in (
-        ("order_id", ["shipping"]),
-        ("customer_id", ["customers"]),
-        ("product_id", ["products", "inventory"]),
-    ):
-        fact = spread_join(
-            fact, [sides[d] for d in domains], key, "left", policy=policy, left_keys=orders
-        )
+    for key in sorted(steps, key=lambda key: all(map(broadcastable, steps[key]))):
+        fact = spread_join(fact, steps[key], key, "left", policy=policy, left_keys=orders)
     return add_layers(fact, metrics.order_fact_layers(rules))
 
 

@@ -137,21 +137,29 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     pending = [rights] if isinstance(rights, DataFrame) else list(rights)
-    existence = how in ("left_semi", "left_anti")
-    if existence:
+    if how in ("left_semi", "left_anti"):
         # Only the key counts here, so no right key can be hot.
         pending = [side.select(key).distinct() for side in pending]
-    if not policy.always_spread:
-        large = []
-        for side in pending:
-            if broadcastable(side):
-                left = left.join(side, key, how)
-            else:
-                large.append(side)
-        pending = large
-    if not pending:
-        return left
+    small = [] if policy.always_spread else [side for side in pending if broadcastable(side)]
+    large = [side for side in pending if all(side is not other for other in small)]
+    if large:
+        left = _spread(left, large, key, how, policy, left_keys, left_unique)
+    # Last, so that what the small sides add is not shuffled.
+    for side in small:
+        left = left.join(side, key, how)
+    return left
+
 
+def _spread(
+    left: DataFrame,
+    pending: list[DataFrame],
+    key: str,
+    how: str,
+    policy: SkewPolicy,
+    left_keys: DataFrame | None,
+    left_unique: bool,
+) -> DataFrame:
+    existence = how in ("left_semi", "left_anti")
     names = [_LEFT_CELL] + [f"__cell_r{i}" for i in range(len(pending))]
     # In an existence test the right keys are distinct, so only the left side is cut.
     profiled = {} if existence else dict(zip(names[1:], pending))
