@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import __spark_entry__
 import compare
 import pytest
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+import __spark_entry__
+from cartwright.plans import catalog, oracle
+
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,11 @@ def test_each_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, data, duck, name):
     assert compare.difference(QUERIES[name](spark, data), duck, ORACLES[name]) is None
