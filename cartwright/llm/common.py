@@ -62,6 +62,18 @@ def same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
     return condition
 
 
+def only(df: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose keys are in the saved frame ``rows``, if those are few.
+
+    Their keys are counted and, if few, broadcast, so that what is left out is never shuffled.
+    Otherwise ``df`` comes back whole. Either way a join with ``rows`` has to follow.
+    """
+    wanted = rows.select(*keys).distinct()
+    if not small(rows):
+        return df
+    return df.join(F.broadcast(wanted), same_keys(df, wanted, keys), "left_semi")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

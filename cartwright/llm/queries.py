@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import mixing, url_filter
+from cartwright.llm import decontaminate, line_dedup, mixing, span_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,21 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    documents, items = table(spark, directory, "documents"), table(spark, directory, "benchmark")
+    return decontaminate.contaminated(documents, items)
+
+
+def op4_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    cleaned = line_dedup.remove_repeated_lines(table(spark, directory, "documents"))
+    return cleaned.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", "text")
+
+
+def op5_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    cleaned = span_dedup.remove_repeated_spans(table(spark, directory, "documents"))
+    return cleaned.select("doc_id", "span_dedup.*", "text")
+
+
 def op9_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, directory, "pages"), URL_RULES)
 
@@ -35,7 +50,37 @@ def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_url_filters, op10_mixing)}
+    registered = (
+        op2_decontamination,
+        op4_line_dedup,
+        op5_substring_dedup,
+        op9_url_filters,
+        op10_mixing,
+    )
+    return {query.__name__: query for query in registered}
+
+
+# Items of fewer than eight shingles need no case of their own here: the join is exact.
+OP2_SQL = r"""
+WITH split AS (
+  SELECT true AS is_item, item_id AS id, text FROM benchmark
+  UNION ALL SELECT false, doc_id, text FROM documents),
+listed AS (
+  SELECT is_item, id,
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS words
+  FROM split),
+shingled AS (
+  SELECT DISTINCT is_item, id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [list_aggregate(words, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: list_aggregate(words[i:i+4], 'string_agg', ' ')) END) AS shingle
+  FROM listed),
+sizes AS (SELECT id, count(*) AS item_shingles FROM shingled WHERE is_item GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(item_shingles) AS item_shingles, count(*) AS shared,
+  count(*) / any_value(item_shingles)::DOUBLE AS containment
+FROM shingled i JOIN shingled d ON d.shingle = i.shingle AND i.is_item AND NOT d.is_item
+JOIN sizes s ON s.id = i.id
+GROUP BY d.id, i.id HAVING count(*) / any_value(item_shingles)::DOUBLE >= 0.8
+"""
 
 
 OP9_SQL = """
@@ -89,4 +134,4 @@ FROM numbered n JOIN rated r ON n.source IS NOT DISTINCT FROM r.source
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL}
+    return {"op2_decontamination": OP2_SQL, "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL}
