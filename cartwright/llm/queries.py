@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, line_dedup, mixing, span_dedup, url_filter
+from cartwright.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    quality_gam,
+    quality_rules,
+    span_dedup,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +48,17 @@ def op5_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return cleaned.select("doc_id", "span_dedup.*", "text")
 
 
+def op6_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    rated = quality_rules.rate(table(spark, directory, "documents"))
+    return rated.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    return quality_gam.classify(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 def op9_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, directory, "pages"), URL_RULES)
 
@@ -54,6 +73,8 @@ def queries() -> dict[str, Query]:
         op2_decontamination,
         op4_line_dedup,
         op5_substring_dedup,
+        op6_quality_rules,
+        op7_quality_classifier,
         op9_url_filters,
         op10_mixing,
     )
