@@ -15,7 +15,9 @@ from cartwright.llm import (
     quality_rules,
     span_dedup,
     url_filter,
+    warc,
 )
+from cartwright.llm.common import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,11 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, directory: str) -> DataFrame:
+    read = warc.round_trip(table(spark, directory, "pages"), fresh_folder(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     documents, items = table(spark, directory, "documents"), table(spark, directory, "benchmark")
     return decontaminate.contaminated(documents, items)
@@ -70,6 +77,7 @@ def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     registered = (
+        op1_warc,
         op2_decontamination,
         op4_line_dedup,
         op5_substring_dedup,
