@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm import (
     decontaminate,
+    jaccard_join,
     line_dedup,
     mixing,
     quality_gam,
@@ -66,6 +67,10 @@ def op7_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
     return quality_gam.classify(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, directory, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, directory, "pages"), URL_RULES)
 
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         op5_substring_dedup,
         op6_quality_rules,
         op7_quality_classifier,
+        op8_jaccard_join,
         op9_url_filters,
         op10_mixing,
     )
@@ -162,5 +168,34 @@ FROM numbered n JOIN rated r ON n.source IS NOT DISTINCT FROM r.source
 """
 
 
+OP8_SQL = r"""
+WITH listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingled AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [list_aggregate(words, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: words[i]||' '||words[i+1]||' '||words[i+2]) END) AS shingle
+  FROM listed),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS common
+  FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT one, two FROM met JOIN sizes x ON x.doc_id = one JOIN sizes y ON y.doc_id = two
+  WHERE 100 * common >= 90 * (x.n + y.n - common)),
+edges AS MATERIALIZED (SELECT one, two FROM links UNION SELECT two, one FROM links),
+reached AS MATERIALIZED (
+  WITH RECURSIVE walk(one, two) AS (
+    SELECT one, two FROM edges UNION SELECT w.one, e.two FROM walk w JOIN edges e ON e.one = w.two)
+  SELECT one, min(two) AS least FROM walk GROUP BY one)
+SELECT l.doc_id, coalesce(s.n, 0) AS n_shingles, least(l.doc_id, coalesce(r.least, l.doc_id)) AS component_id
+FROM listed l LEFT JOIN sizes s ON s.doc_id = l.doc_id LEFT JOIN reached r ON r.one = l.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL}
+    return {"op2_decontamination": OP2_SQL, "op8_jaccard_join": OP8_SQL,
+        "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL}
