@@ -15,6 +15,7 @@ from cartwright.llm import (
     quality_gam,
     quality_rules,
     span_dedup,
+    suffix_dedup,
     url_filter,
     warc,
 )
@@ -46,6 +47,11 @@ def op2_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contaminated(documents, items)
 
 
+def op3_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeated_strings(table(spark, directory, "documents"))
+    return cleaned.drop("kept")
+
+
 def op4_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     cleaned = line_dedup.remove_repeated_lines(table(spark, directory, "documents"))
     return cleaned.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", "text")
@@ -84,6 +90,7 @@ def queries() -> dict[str, Query]:
     registered = (
         op1_warc,
         op2_decontamination,
+        op3_suffix_dedup,
         op4_line_dedup,
         op5_substring_dedup,
         op6_quality_rules,
