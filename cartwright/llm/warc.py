@@ -185,7 +185,8 @@ def zip_members(file: pa.NativeFile, length: int) -> dict[str, tuple[int, int]]:
 
     tail_at = max(0, length - 22 - 65535)
     tail = at(tail_at, length - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    # A comment may hold the mark too: the right one is followed by just its comment.
+    end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:

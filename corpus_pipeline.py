@@ -3,21 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwright.llm import mixing
+from cartwright.llm import decontaminate, jaccard_join, line_dedup, mixing, quality_rules
 from cartwright.llm.common import saved
 from cartwright.llm.queries import SOURCE_WEIGHTS, table
 
 
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules (6): documents that they reject go.
+
+    Of rows that share an id, all go if one is rejected; a row without an id stays.
+    """
+    rejected = quality_rules.rate(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti")
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (4): repeated runs of lines leave the texts; ``n_chars`` follows."""
+    cleaned = line_dedup.remove_repeated_lines(docs).drop("line_dedup")
+    if "n_chars" not in docs.columns:
+        return cleaned
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    changed = F.when(F.col("n_chars").isNotNull(), length)
+    return cleaned.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (8): one document of each group stays, by five words and 0.8."""
+    linked = jaccard_join.link_documents(docs, shingle=5, percent=80)
+    return jaccard_join.one_of_each(docs, linked)
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (2): documents that contain a test item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing (10): how often each remaining document is taken."""
     return mixing.mix(docs, SOURCE_WEIGHTS)
 
 
-STAGES = [("mixing sources", mix_sources)]
+STAGES = [
+    ("quality rules", apply_quality_rules),
+    ("line dedup", remove_repeated_lines),
+    ("n-gram jaccard join", keep_one_of_each_group),
+    ("benchmark decontamination", remove_benchmark_leaks),
+    ("mixing sources", mix_sources),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order; each but the last is written and read back as the next one's documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
