@@ -12,15 +12,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import only, saved
+from cartwright.llm.common import broadcast_if_small, only, saved
 from cartwright.llm.components import components
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 #: Neighbouring size classes differ by this factor.
 STEP = 1.25
-#: A part of a set with fewer shingles is weak: unrelated sets may share it by chance.
-STRONG = 3
+#: Spare parts for every part that may differ.
+SPARE = 0.5
 #: Documents under one node at the lowest level of a tree.
 LEAF = 64
 
@@ -61,8 +61,10 @@ def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     In a class of sets of at most u shingles, linked sets differ in no more than
     d = 2u(100 - percent) / (100 + percent) of them. Hash the shingles into more than d parts, and
     some part is equal. A set has the keys of its own class and of those of the larger sets
-    it may link with. It leaves out parts of fewer than STRONG shingles if it has no more of them than
-    there are spare parts, for then the parts left must contain an equal one.
+    it may link with. Unrelated sets may share small parts by chance, so a set leaves out the parts of
+    fewer than t shingles, for the largest t that leaves out no more than there are spare parts. Two
+    linked sets have more equal parts than spare ones, and what is left out of the equal parts is what
+    the set with the larger t leaves out: some equal part remains.
     """
     size = len(hashes)
     if not size:
@@ -73,7 +75,7 @@ def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
         differing = 2 * limit * (100 - percent) // (100 + percent)
         if not differing:
             continue
-        spare = 1 + differing // 50
+        spare = max(2, math.ceil(SPARE * differing))
         n = differing + 1 + spare
         part = ((hashes >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -82,8 +84,8 @@ def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
         running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes[order]), dtype=np.uint64)])
         total = running[ends] - running[ends - counts]
         keys = _mix(_mix(total + np.uint64(k)) + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        strong = counts >= STRONG
-        found.append(keys[strong] if n - np.count_nonzero(strong) <= spare else keys)
+        # The smallest part that must stay sets the threshold.
+        found.append(keys[counts >= np.partition(counts, spare)[spare]])
     return np.concatenate(found) if found else hashes[:0]
 
 
@@ -176,11 +178,29 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     return label
 
 
+def _hook(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by key and id: every later holder of a key with the key's first holder.
+
+    A key's rows pass by; only its first holder is held, however many there are.
+    """
+    last_key, first_id = None, 0
+    for batch in batches:
+        keys, ids = batch["key"].to_numpy(), batch["doc_id"].to_numpy()
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        firsts = ids[begins].copy()
+        if last_key is not None and keys[0] == last_key:
+            firsts[0] = first_id
+        reps = np.repeat(firsts, np.diff(np.append(begins, len(keys))))
+        last_key, first_id = keys[-1], reps[-1]
+        other = ids != reps
+        yield pd.DataFrame({"doc_id": ids[other], "rep": reps[other]}).drop_duplicates()
+
+
 def link_documents(
     documents: DataFrame,
     shingle: int = 3,
     percent: int = 90,
-    block_shingles: int = 2_000_000,
+    block_shingles: int = 4_000_000,
 ) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` or more.
 
@@ -191,34 +211,36 @@ def link_documents(
     component. An empty table gives no rows; other columns don't matter.
 
     Equal sets are linked first, by a 128-bit hash and aggregation. The smallest id of each then stands
-    for them. Sets that may link share a key (see ``part_keys``: no link is lost); each key links its
-    holders with the smallest, and the components of that graph are the groups in which links
+    for them. Sets that may link share a key (see ``part_keys``: no link is lost); the keys are
+    shuffled once and sorted, each links its holders with the smallest as they pass by, and the components of that graph are the groups in which links
     can be. A group is joined by a signature tree in one task, and one of more than
     ``block_shingles`` shingles is cut into blocks, every two of which meet in a task of their own.
-    A task hands on at most one edge per set. Keys are aggregated before they shuffle.
+    A task hands on at most one edge per set.
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, held = [], 0
+            rows = []
             for doc_id, text in batch.itertuples(index=False, name=None):
                 hashes = shingle_set(text, shingle)
                 digest = xxhash.xxh3_128_digest(hashes.tobytes())
                 high, low = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-                keys = part_keys(hashes, percent).view(np.int64)
-                rows.append((doc_id, len(hashes), high, low, keys))
-                held += len(keys)
-                if held > 200_000:
-                    yield _frame(rows)
-                    rows, held = [], 0
-            yield _frame(rows)
+                rows.append((doc_id, len(hashes), high, low))
+            frame = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "high", "low"])
+            yield frame.astype({"doc_id": "Int64"})
 
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "high", "low", "keys"])
+    def list_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for some in np.array_split(np.arange(len(batch)), max(1, len(batch) // 500)):
+                part = batch.iloc[some]
+                keys = [part_keys(shingle_set(text, shingle), percent) for text in part["text"]]
+                ids = np.repeat(part["doc_id"].to_numpy(np.int64), [len(k) for k in keys])
+                if len(ids):
+                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "doc_id": ids})
 
     described = saved(
         documents.select("doc_id", "text").mapInPandas(
-            describe, "doc_id long, n_shingles long, high long, low long, keys array<long>"
+            describe, "doc_id long, n_shingles long, high long, low long"
         ),
         "sets",
     )
@@ -226,20 +248,21 @@ def link_documents(
     digest = ["high", "low", "n_shingles"]
     least = known.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
     members = saved(known.select("doc_id", *digest).join(least, digest), "members")
-    copies = members.filter("doc_id <> rep").select("doc_id", "rep")
-
-    keyed = known.select("doc_id", F.explode("keys").alias("key"))
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-        .filter("rep <> last")
-        .select("key", "rep")
+    copies = saved(members.filter("doc_id <> rep").select("doc_id", "rep"), "copies")
+    standing = members.filter("doc_id = rep").select("doc_id", "n_shingles").distinct()
+
+    single = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    single = single.join(broadcast_if_small(copies.select("doc_id").distinct()), "doc_id", "left_anti")
+    near = (
+        single.mapInPandas(list_keys, "key long, doc_id long")
+        .repartition("key")
+        .sortWithinPartitions("key", "doc_id")
+        .mapInPandas(_hook, "doc_id long, rep long")
     )
-    near = keyed.join(shared, "key").filter("doc_id <> rep").select("doc_id", "rep").distinct()
-    standing = members.filter("doc_id = rep").select("doc_id", "n_shingles")
-    near = saved(near.join(standing.select("doc_id").distinct(), "doc_id"), "near")
+    near = saved(near.distinct(), "near")
     grouped = components(near, "doc_id", "rep").withColumnRenamed("component", "group")
-    grouped = saved(grouped.join(standing, grouped.node == standing.doc_id).select("doc_id", "group", "n_shingles"), "groups")
+    grouped = grouped.join(standing, grouped.node == standing.doc_id)
+    grouped = saved(grouped.select("doc_id", "group", "n_shingles"), "groups")
 
     linked = _join_groups(documents, grouped, shingle, percent, block_shingles)
     found = components(copies.union(linked), "doc_id", "rep")
