@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwright.config import RuleBook
 from cartwright.functions import metrics
-from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, broadcastable, spread_join
+from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, spread_join
 from cartwright.operators.stage import add_layers
 
 # Columns that carry the same name in several domains and the prefix they get.
@@ -49,6 +49,15 @@ SHIPPING_PAYLOAD = (
 )
 
 
+# The order that the columns of the order fact follow.
+_JOINED = (
+    ("customers", "customer_id"),
+    ("products", "product_id"),
+    ("inventory", "product_id"),
+    ("shipping", "order_id"),
+)
+
+
 def prefixed(stage: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
     """Rename the clashing columns of a stage table; names that are absent are skipped."""
     prefix, names = (V1_PREFIXED if rules.is_v1 else PREFIXED)[domain]
@@ -63,7 +72,7 @@ def enriched_orders(
     An order repeats once per warehouse of its product and once per shipment. Of the sides that
     need a shuffle, the narrow shipping columns are joined first and the inventory fan-out last,
     next to the products on the same placement, so that the widest and most numerous rows are never
-    shuffled again. Sides that are broadcast come after them.
+    shuffled again. Neither that order nor the columns' depends on the size of a side.
     """
     sides = {
         domain: prefixed(stages[domain], domain, rules)
@@ -79,11 +88,21 @@ def enriched_orders(
         "product_id": [sides["products"], sides["inventory"]],
     }
     fact = orders
-    for key in sorted(steps, key=lambda key: all(map(broadcastable, steps[key]))):
-        fact = spread_join(fact, steps[key], key, "left", policy=policy, left_keys=orders)
+    for key, right in steps.items():
+        fact = spread_join(fact, right, key, "left", policy=policy, left_keys=orders)
+    fact = fact.select(*_contract_columns(orders, sides))
     return add_layers(fact, metrics.order_fact_layers(rules))
 
 
+def _contract_columns(orders: DataFrame, sides: dict[str, DataFrame]) -> list[str]:
+    """Columns as joins with one domain after the other leave them, each putting its key first."""
+    names = orders.columns
+    for domain, key in _JOINED:
+        added = [name for name in sides[domain].columns if name != key]
+        names = [key, *(name for name in names if name != key), *added]
+    return names
+
+
 def _sales(orders: str, revenue: str, average: str, profit: str) -> list[Column]:
     """The measures that all groupings of the order fact share."""
     return [

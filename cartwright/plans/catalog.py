@@ -32,9 +32,10 @@ V1 = sample_rules(v1_rules())
 # Spreads every key with more than 50 rows, whatever the size of the sides.
 FINE_SPREAD = SkewPolicy(rows_per_cell=50, always_spread=True)
 
-# The two loads of the history queries cover overlapping periods, together all orders.
+# The two loads of the history queries cover overlapping periods, together all orders; a single
+# first load takes all of them.
 FIRST_LOAD = "order_date < DATE'2001-01-01'"
-SECOND_LOAD = "order_date >= DATE'2000-07-01'"
+SECOND_LOAD = "order_date >= DATE'2000-07-01' OR order_date IS NULL"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -217,7 +218,7 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
 
     def query(spark: SparkSession, directory: str) -> DataFrame:
         # The rows themselves are computed as of the sample's day; only the history moves on.
-        first = history.batch(_LOADS[table](spark, directory, rules, FIRST_LOAD))
+        first = history.batch(_LOADS[table](spark, directory, rules, FIRST_LOAD if load_twice else "true"))
         first = settled(first) if load_twice else first
         state = scd2.stamp_current(first, rules)
         if closed:

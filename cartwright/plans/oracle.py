@@ -340,7 +340,7 @@ def product_analytics(version: str, when: str) -> str:
 
 
 FIRST = "order_date < DATE '2001-01-01'"
-SECOND = "order_date >= DATE '2000-07-01'"
+SECOND = "(order_date >= DATE '2000-07-01' OR order_date IS NULL)"
 HISTORY_COLUMNS = {
     "orders": """order_id, customer_id, product_id, order_date, order_amount, currency,
       payment_method, shipping_address, order_status, created_timestamp, processed_timestamp,
@@ -361,7 +361,7 @@ HISTORY_COLUMNS = {
 for _version in ("", "v1_"):
     PARTS[f"{_version}customer_analytics"] = customer_analytics(_version, "true")
     PARTS[f"{_version}product_analytics"] = product_analytics(_version, "true")
-    for _load, _when in (("first", FIRST), ("second", SECOND)):
+    for _load, _when in (("first", FIRST), ("second", SECOND), ("whole", "true")):
         _built = {
             "orders": f"SELECT * FROM {_version}fact WHERE {_when}",
             "customers": customer_analytics(_version, _when),
@@ -385,7 +385,7 @@ def history(
             f" AS expiry_date, {current} AS is_current FROM {version}{name}_{load}"
         )
 
-    state = version_of("first", DAY, "NULL", "true")
+    state = version_of("first" if load_twice else "whole", DAY, "NULL", "true")
     if closed:
         state += " UNION ALL " + version_of("first", f"{DAY} - 30", DAY, "false")
     if load_twice:

@@ -17,7 +17,7 @@ from cartwright.config import RuleBook
 from cartwright.operators import enrich, quality, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.operators.scd2 import HISTORIES, History
-from cartwright.sinks.archive import archive_csv
+from cartwright.sinks.archive import archive_csv, check_archive
 from cartwright.sinks.hadoop import Files
 from cartwright.sinks.history import HistoryStore
 from cartwright.sinks.landing import land, landed_schemas, part
@@ -93,6 +93,7 @@ class Pipeline:
         """Ingest one domain: replace its stage table, append its rejects, archive its files."""
         rules, spark = self.rules, self.spark
         raw = scan_csv(spark, domain, self.folders[domain].source)
+        check_archive(raw, self.folders[domain].archive)
         home = f"{self.root}/landing/{domain}"
         run = f"{rules.batch()}-{uuid.uuid4().hex[:8]}"
         counts = land(raw, domain, rules, f"{home}/{run}")
@@ -110,8 +111,19 @@ class Pipeline:
         return LoadCounts(domain, counts, archived)
 
     def load_all(self) -> list[LoadCounts]:
-        """All domains at once; the log is written afterwards, by one writer."""
-        loads = concurrently(self.spark, [partial(self.load, d) for d in schemas.DOMAINS])
+        """All domains at once; the log is written afterwards, by one writer.
+
+        If some fail, the others are logged all the same before the first failure is raised.
+        """
+
+        def attempt(domain: str) -> LoadCounts | Exception:
+            try:
+                return self.load(domain)
+            except Exception as failure:  # raised below
+                return failure
+
+        outcomes = concurrently(self.spark, [partial(attempt, d) for d in schemas.DOMAINS])
+        loads = [done for done in outcomes if isinstance(done, LoadCounts)]
         for done in loads:
             self.log(
                 f"{done.domain}_stage_load",
@@ -120,6 +132,9 @@ class Pipeline:
                 done.counts["invalid_records"],
                 done.archived,
             )
+        for failure in outcomes:
+            if isinstance(failure, Exception):
+                raise failure
         return loads
 
     def stages(self) -> dict[str, DataFrame]:

@@ -39,8 +39,15 @@ class TableStore:
 
     def point(self, table: str, path: str, schema: T.StructType) -> None:
         """Make the table show the parquet files of ``path``, whatever it showed before."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        self.spark.catalog.createTable(self.name(table), path, "parquet", schema)
+        name = self.name(table)
+        if self.spark.catalog.tableExists(name):
+            if self.spark.table(name).schema.simpleString() == schema.simpleString():
+                # Readers see the one location or the other, never no table.
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(name)
+                return
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.catalog.createTable(name, path, "parquet", schema)
 
     def create(self, df: DataFrame, table: str) -> None:
         """Write a new table; an existing one is an error."""

@@ -159,3 +159,47 @@ def test_pinned_rules_share_one_clock(spark):
     assert pinned.as_of == pinned.now.date()
     assert pinned.batch() == pinned.now.strftime("%Y%m%d_%H%M%S")
     assert v2_rules(as_of=dt.date(2001, 1, 1)).pinned(spark).as_of == dt.date(2001, 1, 1)
+
+
+def test_load_that_cannot_be_archived_leaves_no_trace(spark, data, tmp_path, database):
+    run = setup(spark, data, tmp_path, database, sample_rules(v2_rules()))
+    run.load("products")
+    before = run.tables.read("products_errors").count()
+    taken = next((tmp_path / "products" / "archive").glob("*.csv"))
+    (tmp_path / "products" / "source" / taken.name).write_text(taken.read_text())
+    for _ in range(2):
+        with pytest.raises(FileExistsError):
+            run.load("products")
+        assert run.tables.read("products_errors").count() == before
+        assert len(list((tmp_path / "store" / "landing" / "products").iterdir())) == 1
+
+
+def test_a_failing_domain_does_not_hide_the_others(spark, data, tmp_path, database, monkeypatch):
+    run = setup(spark, data, tmp_path, database, sample_rules(v2_rules()))
+    load = run.load
+
+    def fail(domain):
+        if domain == "inventory":
+            raise OSError("lost")
+        return load(domain)
+
+    monkeypatch.setattr(run, "load", fail)
+    with pytest.raises(OSError, match="lost"):
+        run.load_all()
+    logged = {row.task for row in run.tables.read("process_log").collect()}
+    assert logged == {f"{d}_stage_load" for d in schemas.DOMAINS if d != "inventory"}
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB", "1g"])
+def test_fact_columns_do_not_depend_on_sizes(spark, data, limit):
+    rules = sample_rules(v2_rules())
+    stages = {d: stage.stage_rows(raw_view(spark, data, d), d, rules) for d in schemas.DOMAINS}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        names = enrich.enriched_orders(stages, rules).columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert names[:3] == ["order_id", "product_id", "customer_id"]
+    assert names.index("first_name") < names.index("product_name") < names.index("reorder_level")
+    assert names.index("reorder_level") < names.index("carrier")

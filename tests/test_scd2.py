@@ -132,3 +132,12 @@ def test_first_load_of_an_empty_batch(spark, tmp_path):
     store.merge(frame(spark, []), HISTORY, rules(0))
     assert store.exists() and store.read().count() == 0
     assert replace(rules(0), as_of=None).as_of is None
+
+
+def test_draft_of_a_dead_commit_is_no_obstacle(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path))
+    store.merge(frame(spark, [("a", 1)]), HISTORY, rules(0))
+    (tmp_path / "commits" / "00000002.json.draft").write_text("{")
+    (tmp_path / "commits" / "00000002.json.abc.draft").write_text("{")
+    store.merge(frame(spark, [("a", 2)]), HISTORY, rules(1))
+    assert store.read().count() == 2
