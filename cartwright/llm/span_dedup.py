@@ -73,12 +73,14 @@ def _list_spans(min_sentences: int, min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             # Some documents at a time: a long text gives a row for every sentence.
-            rows, size = [], 0
-            for doc_id, text_hash, text in batch.itertuples(index=False):
+            rows = []
+            for doc_id, text_hash, text in batch.itertuples(index=False, name=None):
+                met = set()
                 for start, length, digest in spans(sentences(text or ""), min_sentences, min_words):
                     high = int.from_bytes(digest[:8], "little", signed=True)
                     low = int.from_bytes(digest[8:12], "little", signed=True)
-                    rows.append((high, low, doc_id, text_hash, start, length))
+                    rows.append((high, low, doc_id, text_hash, start, length, digest in met))
+                    met.add(digest)
                 if len(rows) >= 50_000:
                     yield _frame(rows)
                     rows = []
@@ -88,7 +90,8 @@ def _list_spans(min_sentences: int, min_words: int):
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["high", "low", "doc_id", "text_hash", "start", "length"])
+    names = ["high", "low", "doc_id", "text_hash", "start", "length", "again"]
+    return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
 
 def _without(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
@@ -114,33 +117,35 @@ def remove_repeated_spans(
     """Remove every sentence covered by a span of sentences that stands earlier in the collection.
 
     From every sentence on, the shortest run of at least ``min_sentences`` sentences and ``min_words``
-    words is a span. Of equal spans the first, by doc_id (NULL first), a hash of the text, and
-    position, stays; the sentences of all others go, also within one document. Spans are equal if
-    their sentences are, up to whitespace, by a 96-bit hash.
+    words is a span. Of equal spans the first one of the document with the smallest doc_id (NULL last)
+    stays; the sentences of all others go, also within one document. Spans are equal if their sentences
+    are, up to whitespace, by a 96-bit hash.
 
-    A text that is NULL, empty, or too short for one span stays as it is. Rows equal in id and text
-    count as one document and are treated alike. Returns all columns of ``documents`` with ``text``
+    A text that is NULL, empty, or too short for one span stays as it is. Rows that share
+    an id don't take spans from one another. Returns all columns of ``documents`` with ``text``
     replaced, and one struct ``span_dedup`` (n_sentences, n_removed, n_spans: maximal removed runs);
     other columns may have any names but that. An empty table stays empty.
 
-    Spans are counted with partial sums before they shuffle. The join that finds the repeats has one
+    Texts are cut once and their spans saved, as hashes. Spans are counted with partial sums before they shuffle. The join that finds the repeats has one
     row for a span on one side, so a frequent span can be split. A document's repeats, no more than
     its sentences, come together in one row.
     """
     text_hash = F.hash("text")
     keyed = documents.select("doc_id", text_hash.alias("text_hash"), "text")
-    found = keyed.mapInPandas(
-        _list_spans(min_sentences, min_words),
-        "high long, low int, doc_id long, text_hash int, start int, length int",
+    found = saved(
+        keyed.mapInPandas(
+            _list_spans(min_sentences, min_words),
+            "high long, low int, doc_id long, text_hash int, start int, length int, again boolean",
+        ),
+        "all-spans",
     )
-    at = F.struct(*KEY, "start")
     repeated = (
         found.groupBy("high", "low")
-        .agg(F.min(at).alias("earliest"), F.count("*").alias("n"))
+        .agg(F.min("doc_id").alias("earliest"), F.count("*").alias("n"))
         .filter("n > 1")
         .select("high", "low", "earliest")
     )
-    later = found.join(repeated, ["high", "low"]).filter(~at.eqNullSafe(F.col("earliest")))
+    later = found.join(repeated, ["high", "low"]).filter("again OR NOT doc_id <=> earliest")
     repeats = saved(
         later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "length")).alias("spans")), "spans"
     )
