@@ -23,6 +23,9 @@ STEP = 1.25
 SPARE = 0.5
 #: Documents under one node at the lowest level of a tree.
 LEAF = 64
+#: The holders of a key are checked against each other by their sketches; beyond this many they all stay
+#: candidates of each other.
+CHECKED = 512
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -178,22 +181,90 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     return label
 
 
-def _hook(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by key and id: every later holder of a key with the key's first holder.
+def sketch(hashes: np.ndarray) -> bytes:
+    """A bitmap of a set, of at least two bits a shingle and a power of two of bits."""
+    bits = 1 << max(6, int(2 * len(hashes) - 1).bit_length())
+    marked = np.zeros(bits, dtype=np.uint8)
+    marked[(hashes % np.uint64(bits)).astype(np.int64)] = 1
+    return np.packbits(marked, bitorder="little").tobytes()
 
-    A key's rows pass by; only its first holder is held, however many there are.
+
+def may_link(one: tuple[int, bytes], two: tuple[int, bytes], percent: int) -> bool:
+    """Whether two sets, given as size and sketch, may link; never False for sets that do.
+
+    A bit that only one of them has stands for a shingle at least that the other lacks.
     """
-    last_key, first_id = None, 0
+    (n, a), (m, b) = sorted((one, two), key=lambda x: len(x[1]))
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    low, high, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while width > 8 * len(a):
+        width //= 2
+        high = (high >> width) | (high & ((1 << width) - 1))
+    common = (low & high).bit_count()
+    overlap = min(n - low.bit_count(), m - high.bit_count()) + common
+    return overlap * (100 + percent) >= percent * (n + m)
+
+
+def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by key and id: the ids of each key that has several.
+
+    At most ``CHECKED`` ids come as one list, to be checked. A key with more of them gives unchecked
+    pairs, of its first holder with each later one. No more than a batch and ``CHECKED`` ids are held.
+    """
+    key, held, wide = None, np.empty(0, np.int64), False
     for batch in batches:
         keys, ids = batch["key"].to_numpy(), batch["doc_id"].to_numpy()
+        if len(held):
+            keys, ids = np.append(np.full(len(held), key), keys), np.append(held, ids)
         begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        firsts = ids[begins].copy()
-        if last_key is not None and keys[0] == last_key:
-            firsts[0] = first_id
-        reps = np.repeat(firsts, np.diff(np.append(begins, len(keys))))
-        last_key, first_id = keys[-1], reps[-1]
-        other = ids != reps
-        yield pd.DataFrame({"doc_id": ids[other], "rep": reps[other]}).drop_duplicates()
+        ends = np.append(begins[1:], len(keys))
+        several, pairs = set(), set()
+        for run in np.flatnonzero(ends - begins > 1).tolist():
+            found = np.unique(ids[begins[run] : ends[run]])
+            if len(found) > CHECKED or (wide and not run):
+                pairs |= {(int(found[0]), other) for other in found[1:].tolist()}
+            elif len(found) > 1 and run < len(begins) - 1:
+                several.add(tuple(found.tolist()))
+        key, rest = keys[-1], np.unique(ids[begins[-1] :])
+        wide = len(rest) > CHECKED or (wide and len(begins) == 1)
+        held = rest[:1] if wide else rest
+        yield _listed(several, pairs)
+    if len(held) > 1:
+        yield _listed({tuple(held.tolist())}, set())
+
+
+def _listed(several: set[tuple], pairs: set[tuple]) -> pd.DataFrame:
+    ids = [list(x) for x in several] + [list(x) for x in pairs]
+    return pd.DataFrame({"ids": ids, "check": [True] * len(several) + [False] * len(pairs)})
+
+
+def _check(percent: int):
+    """Of rows sorted by holder list: edges that connect those holders which may link."""
+
+    def edges(rows: list[tuple]) -> set[tuple]:
+        root, found = list(range(len(rows))), set()
+        for i, (one, *first) in enumerate(rows):
+            for j in range(i):
+                if root[i] != root[j] and may_link(tuple(first), rows[j][1:], percent):
+                    gone, stays = root[i], root[j]
+                    root = [stays if r == gone else r for r in root]
+                    found.add((max(one, rows[j][0]), min(one, rows[j][0])))
+        return found
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, rows = None, []
+        for batch in batches:
+            found = set()
+            for holders, *row in batch.itertuples(index=False, name=None):
+                if holders != last:
+                    found |= edges(rows)
+                    last, rows = holders, []
+                rows.append(tuple(row))
+            yield pd.DataFrame(sorted(found), columns=["doc_id", "rep"])
+        yield pd.DataFrame(sorted(edges(rows)), columns=["doc_id", "rep"])
+
+    return run
 
 
 def link_documents(
@@ -212,8 +283,8 @@ def link_documents(
 
     Equal sets are linked first, by a 128-bit hash and aggregation. The smallest id of each then stands
     for them. Sets that may link share a key (see ``part_keys``: no link is lost); the keys are
-    shuffled once and sorted, each links its holders with the smallest as they pass by, and the components of that graph are the groups in which links
-    can be. A group is joined by a signature tree in one task, and one of more than
+    shuffled once and sorted, and the holders of each that may link by their sketches are connected.
+    The components of that graph are the groups in which links can be. A group is joined by a signature tree in one task, and one of more than
     ``block_shingles`` shingles is cut into blocks, every two of which meet in a task of their own.
     A task hands on at most one edge per set.
     """
@@ -225,8 +296,8 @@ def link_documents(
                 hashes = shingle_set(text, shingle)
                 digest = xxhash.xxh3_128_digest(hashes.tobytes())
                 high, low = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-                rows.append((doc_id, len(hashes), high, low))
-            frame = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "high", "low"])
+                rows.append((doc_id, len(hashes), high, low, sketch(hashes)))
+            frame = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "high", "low", "sketch"])
             yield frame.astype({"doc_id": "Int64"})
 
     def list_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -240,7 +311,7 @@ def link_documents(
 
     described = saved(
         documents.select("doc_id", "text").mapInPandas(
-            describe, "doc_id long, n_shingles long, high long, low long"
+            describe, "doc_id long, n_shingles long, high long, low long, sketch binary"
         ),
         "sets",
     )
@@ -253,13 +324,27 @@ def link_documents(
 
     single = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
     single = single.join(broadcast_if_small(copies.select("doc_id").distinct()), "doc_id", "left_anti")
-    near = (
+    holders = (
         single.mapInPandas(list_keys, "key long, doc_id long")
         .repartition("key")
         .sortWithinPartitions("key", "doc_id")
-        .mapInPandas(_hook, "doc_id long, rep long")
+        .mapInPandas(_holders, "ids array<long>, check boolean")
+    )
+    holders = saved(holders.distinct(), "holders")
+    listed = holders.filter("check").select(
+        F.xxhash64("ids").alias("holders"), F.explode("ids").alias("doc_id")
+    )
+    checked = (
+        listed.join(known.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        .select("holders", "doc_id", "n_shingles", "sketch")
+        .repartition("holders")
+        .sortWithinPartitions("holders")
+        .mapInPandas(_check(percent), "doc_id long, rep long")
+    )
+    unchecked = holders.filter("NOT check").select(
+        F.col("ids")[1].alias("doc_id"), F.col("ids")[0].alias("rep")
     )
-    near = saved(near.distinct(), "near")
+    near = saved(checked.union(unchecked).distinct(), "near")
     grouped = components(near, "doc_id", "rep").withColumnRenamed("component", "group")
     grouped = grouped.join(standing, grouped.node == standing.doc_id)
     grouped = saved(grouped.select("doc_id", "group", "n_shingles"), "groups")
