@@ -139,21 +139,24 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     levels = [_Nodes(bitmaps, sizes, sizes, most).above(LEAF)]
     while len(levels[-1].low) > 1:
         levels.append(levels[-1].above(4))
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    root = np.arange(len(sets))
+
+    def find(ranks: np.ndarray) -> np.ndarray:
+        """The roots of some sets, which then point straight at them."""
+        found = root[ranks]
+        while np.any(found != (above := root[found])):
+            found = above
+        root[ranks] = found
+        return found
 
     def compare(i: int, others: np.ndarray) -> None:
         """Link set i with those of ``others``, which stand before it and are no larger."""
+        others = others[find(others) != find(np.array([i]))]
         lacking = np.bitwise_count(bitmaps[others] & ~bitmaps[i]).sum(axis=1)
         overlap = sizes[others] - lacking
         needed = percent * (sizes[i] + sizes[others])
         for j in others[overlap * (100 + percent) >= needed].tolist():
-            a, b = find(i), find(j)
+            a, b = find(np.array([i, j])).tolist()
             if a != b:
                 common = len(np.intersect1d(ranked[i], ranked[j], assume_unique=True))
                 if 100 * common >= percent * (sizes[i] + sizes[j] - common):
@@ -170,14 +173,18 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
                 later = second[second <= a]
                 pairs += [(level - 1, a, b) for b in later[below.may_link(a, later, percent)].tolist()]
             continue
+        # Nothing is left to find between leaves of one component, as among thousands of near copies.
+        met = np.r_[LEAF * j : min(LEAF * j + LEAF, len(sets)), LEAF * i : min(LEAF * i + LEAF, len(sets))]
+        if np.ptp(find(met)) == 0:
+            continue
         for a in range(LEAF * i, min(LEAF * i + LEAF, len(sets))):
             others = np.arange(LEAF * j, min(LEAF * j + LEAF, a))
             others = others[100 * sizes[others] >= percent * sizes[a]]
             if len(others):
                 compare(a, others)
     label = [0] * len(sets)
-    for rank, i in enumerate(order):
-        label[i] = order[find(rank)]
+    for i, first in zip(order, find(np.arange(len(sets))).tolist()):
+        label[i] = order[first]
     return label
 
 
@@ -189,21 +196,41 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(marked, bitorder="little").tobytes()
 
 
-def may_link(one: tuple[int, bytes], two: tuple[int, bytes], percent: int) -> bool:
-    """Whether two sets, given as size and sketch, may link; never False for sets that do.
+def connect(rows: list[tuple[int, int, bytes]], percent: int) -> set[tuple[int, int]]:
+    """Edges that connect those of some sets, given as id, size and sketch, which may link.
 
-    A bit that only one of them has stands for a shingle at least that the other lacks.
+    Sets that do link are always connected: a bit that only one of two sets has stands for a shingle at
+    least that the other lacks. Sketches of different widths are compared at the smaller one.
     """
-    (n, a), (m, b) = sorted((one, two), key=lambda x: len(x[1]))
-    if 100 * min(n, m) < percent * max(n, m):
-        return False
-    low, high, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
-    while width > 8 * len(a):
-        width //= 2
-        high = (high >> width) | (high & ((1 << width) - 1))
-    common = (low & high).bit_count()
-    overlap = min(n - low.bit_count(), m - high.bit_count()) + common
-    return overlap * (100 + percent) >= percent * (n + m)
+    ids = [row[0] for row in rows]
+    sizes = np.array([row[1] for row in rows], dtype=np.int64)
+    maps = [np.frombuffer(row[2], dtype="<u8") for row in rows]
+    widths = np.array([len(m) for m in maps])
+    root, edges = np.arange(len(rows)), set()
+    for width in np.unique(widths).tolist():
+        own = np.flatnonzero(widths == width)
+        wider = np.flatnonzero((widths > width) & (percent * sizes <= 100 * sizes[own].max()))
+        met = np.append(own, wider)
+        marks = np.stack([np.bitwise_or.reduce(maps[k].reshape(-1, width)) for k in met.tolist()])
+        marked = np.bitwise_count(marks).sum(axis=1).astype(np.int64)
+        hidden = sizes[met] - marked
+        for at, i in enumerate(own.tolist()):
+            rest = at + 1 + np.flatnonzero(root[met[at + 1 :]] != root[i])
+            n = sizes[met[rest]]
+            near = 100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])
+            rest, n = rest[near], n[near]
+            common = np.bitwise_count(marks[rest] & marks[at]).sum(axis=1).astype(np.int64)
+            overlap = np.minimum(hidden[rest], hidden[at]) + common
+            found = met[rest[overlap * (100 + percent) >= percent * (n + sizes[i])]]
+            joined, first = np.unique(root[found], return_index=True)
+            edges |= {(max(ids[i], ids[k]), min(ids[i], ids[k])) for k in found[first].tolist()}
+            root[np.isin(root, joined)] = root[i]
+    return edges
+
+
+def may_link(one: tuple[int, bytes], two: tuple[int, bytes], percent: int) -> bool:
+    """Whether two sets, given as size and sketch, may link; never False for sets that do."""
+    return bool(connect([(0, *one), (1, *two)], percent))
 
 
 def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,27 +269,17 @@ def _listed(several: set[tuple], pairs: set[tuple]) -> pd.DataFrame:
 def _check(percent: int):
     """Of rows sorted by holder list: edges that connect those holders which may link."""
 
-    def edges(rows: list[tuple]) -> set[tuple]:
-        root, found = list(range(len(rows))), set()
-        for i, (one, *first) in enumerate(rows):
-            for j in range(i):
-                if root[i] != root[j] and may_link(tuple(first), rows[j][1:], percent):
-                    gone, stays = root[i], root[j]
-                    root = [stays if r == gone else r for r in root]
-                    found.add((max(one, rows[j][0]), min(one, rows[j][0])))
-        return found
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, rows = None, []
         for batch in batches:
             found = set()
             for holders, *row in batch.itertuples(index=False, name=None):
                 if holders != last:
-                    found |= edges(rows)
+                    found |= connect(rows, percent)
                     last, rows = holders, []
                 rows.append(tuple(row))
             yield pd.DataFrame(sorted(found), columns=["doc_id", "rep"])
-        yield pd.DataFrame(sorted(edges(rows)), columns=["doc_id", "rep"])
+        yield pd.DataFrame(sorted(connect(rows, percent)), columns=["doc_id", "rep"])
 
     return run
 
