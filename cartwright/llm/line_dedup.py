@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import only, same_keys, saved
+from cartwright.llm.common import BROADCAST_ROWS, only, same_keys, saved
 
 #: What identifies a row: its id and a hash of its text. Rows equal in both count as one document.
 KEY = ["doc_id", "text_hash"]
@@ -101,6 +101,12 @@ def _without(divisor: int):
     return udf
 
 
+def _broadcast_if_short(df: DataFrame, lists: str) -> DataFrame:
+    """Mark a saved frame for broadcast if its lists were counted to have few entries in all."""
+    entries = df.agg(F.sum(F.size(lists))).first()[0] or 0
+    return F.broadcast(df) if entries <= BROADCAST_ROWS else df
+
+
 def repeated_chunks(documents: DataFrame, divisor: int) -> DataFrame:
     """(doc_id, text_hash, lines): where the chunks of a document start that stood earlier.
 
@@ -123,7 +129,8 @@ def repeated_chunks(documents: DataFrame, divisor: int) -> DataFrame:
         found.groupBy(*KEY).agg(F.collect_set(F.struct("line", "first", "digest")).alias("wanted")),
         "chunks",
     )
-    named = only(documents, wanted, KEY).dropDuplicates(KEY)
+    named = only(documents, wanted, KEY)
+    wanted = _broadcast_if_short(wanted, "wanted")
     asked = named.join(wanted, same_keys(named, wanted, KEY)).select(
         named.doc_id, named.text_hash, "text", "wanted.line", "wanted.first", "wanted.digest"
     )
@@ -131,7 +138,9 @@ def repeated_chunks(documents: DataFrame, divisor: int) -> DataFrame:
         _cut_out(divisor),
         "doc_id long, text_hash int, line int, first boolean, digest binary, chunk binary",
     )
-    original = cut.filter("first").select("digest", F.col("chunk").alias("original"))
+    cut = saved(cut, "cut")
+    # Repeated rows give a first chunk several times.
+    original = cut.filter("first").groupBy("digest").agg(F.min("chunk").alias("original"))
     repeats = cut.filter("NOT first").join(original, "digest").filter("chunk = original")
     return repeats.groupBy(*KEY).agg(F.collect_set("line").alias("lines"))
 
@@ -149,12 +158,15 @@ def remove_repeated_lines(documents: DataFrame, divisor: int = 2) -> DataFrame:
     (n_lines, n_removed); other columns may have any names but that. An empty table stays empty.
 
     The chunk table holds hashes, not text, and is combined before it shuffles; only repeated
-    chunks are cut out and compared, and a join on a frequent chunk has one row on one side.
+    chunks are cut out and compared, and a join on a frequent chunk has one row on one side. Where
+    repeats stand is counted and, if few, broadcast, so that no text is shuffled; beyond that the same
+    joins shuffle the texts.
     """
     text_hash = F.hash("text")
     keyed = documents.select("doc_id", text_hash.alias("text_hash"), "text")
     repeats = saved(repeated_chunks(keyed, divisor), "repeats")
     rows = documents.select(F.struct("*").alias("row"), "doc_id", text_hash.alias("text_hash"))
+    repeats = _broadcast_if_short(repeats, "lines")
     matched = rows.join(repeats, same_keys(rows, repeats, KEY), "left")
     done = matched.select("row", _without(divisor)(F.col("row.text"), F.col("lines")).alias("cut"))
     kept = [

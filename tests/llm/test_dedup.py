@@ -177,3 +177,16 @@ def test_linked_sets_share_a_key(percent):
         b = a[np.sort(rng.permutation(len(a))[:keep])]
         if len(b) < len(a):
             assert np.intersect1d(jaccard_join.part_keys(a, percent), jaccard_join.part_keys(b, percent)).size
+
+
+def test_repeated_lines_are_the_same_with_and_without_broadcast(make_docs, monkeypatch):
+    shared = "".join(f"shared line {k}\n" for k in range(12))
+    rows = [(1, shared + "own a\nown b"), (2, shared + "own c\nown d"), (2, shared + "own c\nown d"), (3, "alone")]
+    found = []
+    for limit in (0, 400_000):
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", limit)
+        cleaned = line_dedup.remove_repeated_lines(make_docs(rows)).select("doc_id", "text").collect()
+        found.append(sorted(map(tuple, cleaned)))
+    assert found[0] == found[1] and len(found[0]) == 4
+    assert found[0][0] == rows[0] and found[0][1] == found[0][2]
+    assert found[0][1][1].endswith("own c\nown d") and len(found[0][1][1]) < len(shared)
