@@ -263,7 +263,9 @@ def _holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _listed(several: set[tuple], pairs: set[tuple]) -> pd.DataFrame:
     ids = [list(x) for x in several] + [list(x) for x in pairs]
-    return pd.DataFrame({"ids": ids, "check": [True] * len(several) + [False] * len(pairs)})
+    check = [True] * len(several) + [False] * len(pairs)
+    # Typed, as Arrow refuses an empty column of floats for lists.
+    return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "check": pd.Series(check, dtype=bool)})
 
 
 def _check(percent: int):
