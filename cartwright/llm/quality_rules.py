@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import saved
+from cartwright.llm.char_model import ORDER, count_grams, estimate, language, scorer, text_key
+from cartwright.llm.common import broadcast_if_small, saved
 from cartwright.llm.text_measures import BASE, base_measures, measured
 
-#: Characters fall into this many classes, so a model of order k has at most CLASSES**k entries.
+#: The dense model below, over this many classes of characters, is what the tests compare with;
+#: documents are judged by the one in ``char_model``.
 CLASSES = 40
-ORDER = 4
-#: A model of order 4 with more entries in all is replaced by one of order 3, which is bounded by
-#: LANGUAGES * CLASSES**3, about two million.
-MOST_ENTRIES = 4_000_000
-#: Languages are numbered by a hash below this; languages with one number share a model.
-LANGUAGES = 32
 
 
 def _class_table() -> np.ndarray:
@@ -54,49 +47,6 @@ def grams(text: str) -> np.ndarray:
     return number
 
 
-def language(lang: Column) -> Column:
-    return F.coalesce(F.pmod(F.hash(lang), F.lit(LANGUAGES)), F.lit(0)).cast("int")
-
-
-def count_grams(documents: DataFrame) -> DataFrame:
-    """(language, gram, n) over every character of every text.
-
-    A task adds up its own counts in one array per language before anything is shuffled.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[int, np.ndarray] = {}
-
-        def flush() -> Iterator[pd.DataFrame]:
-            for lang, counts in totals.items():
-                seen = np.flatnonzero(counts)
-                yield pd.DataFrame({"language": lang, "gram": seen, "n": counts[seen]})
-            totals.clear()
-
-        for batch in batches:
-            for lang, texts in batch.groupby("language")["text"]:
-                if lang not in totals and len(totals) == 6:
-                    yield from flush()
-                total = totals.setdefault(lang, np.zeros(CLASSES**ORDER, dtype=np.int64))
-                held: list[np.ndarray] = []
-                size = 0
-                for text in texts:
-                    if text:
-                        held.append(grams(text))
-                        size += len(text)
-                    if size > 4_000_000:
-                        total += np.bincount(np.concatenate(held), minlength=CLASSES**ORDER)
-                        held, size = [], 0
-                if held:
-                    total += np.bincount(np.concatenate(held), minlength=CLASSES**ORDER)
-        yield from flush()
-
-    counted = documents.select(language(F.col("lang")).alias("language"), "text").mapInPandas(
-        run, "language int, gram int, n long"
-    )
-    return counted.groupBy("language", "gram").agg(F.sum("n").alias("n"))
-
-
 def _discounts(counts: np.ndarray) -> np.ndarray:
     """What modified Kneser-Ney takes off a count of 1, 2, and 3 or more, from counts of counts."""
     n = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(float)
@@ -138,30 +88,6 @@ def fit(levels: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
     raise ValueError("a model needs an order")
 
 
-def collect_models(counted: DataFrame) -> dict[int, dict[str, np.ndarray]]:
-    """The models of all languages, from the saved counts; their size is checked before."""
-    order = ORDER
-    if counted.count() > MOST_ENTRIES:
-        order = ORDER - 1
-        gram = F.col("gram") % CLASSES**order
-        counted = counted.groupBy("language", gram.alias("gram")).agg(F.sum("n").alias("n"))
-    frames = {order: counted}
-    for k in range(order - 1, 0, -1):
-        gram = (F.col("gram") % CLASSES**k).cast("int").alias("gram")
-        frames[k] = frames[k + 1].groupBy("language", gram).agg(F.count("*").alias("n"))
-    parts = {
-        k: frames[k].select("language", F.col("gram").cast("int"), "n").toPandas() for k in frames
-    }
-    models = {}
-    for lang in parts[order]["language"].unique():
-        levels = []
-        for k in range(1, order + 1):
-            own = parts[k][parts[k]["language"] == lang].sort_values("gram")
-            levels.append((own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64)))
-        models[int(lang)] = fit(levels)
-    return models
-
-
 def bits(model: dict[str, np.ndarray], numbers: np.ndarray) -> float:
     """Mean bits per character of a text's grams."""
     keys = model["keys"]
@@ -186,8 +112,8 @@ def rate(
 
     A text fails the base rules with fewer than ``min_words`` words or with more than
     ``most_repeated`` percent of its words in repeated windows of eight. The others are judged by a
-    modified Kneser-Ney model over four characters, counted over all texts of their language: bits
-    per character more than ``below`` or ``above`` times the median absolute deviation away from the
+    modified Kneser-Ney model over four characters (code points), counted over all texts of their
+    language, by its value: bits per character more than ``below`` or ``above`` times the median absolute deviation away from the
     language's median, on the lower or upper side, reject a document. Short texts scatter more, so their bands are wider by
     sqrt(1 + 400 / characters). The deviation counts as 0.02 bits at least.
 
@@ -195,25 +121,27 @@ def rate(
     per input row. NULL and empty texts have no words and fail; a NULL language is a language; an
     empty table gives no rows; other columns don't matter.
 
-    The counts are added up in the tasks; the model's size is bounded by its character classes, not
-    by the corpus, and checked before it is broadcast. Medians are sketches.
+    Counts, discounts and probabilities are Spark tables at every size, of one order. A model counted
+    to be small is broadcast; otherwise the grams of the texts are joined with it. Medians are sketches.
     """
-    spark = documents.sparkSession
-    counted = saved(count_grams(documents), "grams")
-    models = spark.sparkContext.broadcast(collect_models(counted))
+    model = estimate(saved(count_grams(documents), "grams"))
+    score, scored = scorer(documents, model)
 
-    def measure(lang: int, text: str | None) -> tuple:
-        score = bits(models.value[lang], grams(text)) if text else None
-        return (*base_measures(text), lang, len(text or ""), score)
+    def measure(lang: str, text: str | None) -> tuple:
+        found = (text_key(text) if score is None else score(lang, text)) if text else None
+        return (*base_measures(text), lang, len(text or ""), found)
 
-    schema = ", ".join(f"{name} long" for name in BASE) + ", language int, chars long, bits double"
+    found = "bits double" if score else "text_key binary"
+    schema = ", ".join(f"{name} long" for name in BASE) + f", language string, chars long, {found}"
     rated = measured(
         documents.withColumn("lang", language(F.col("lang"))),
         ["lang", "text"],
         measure,
         schema,
-        [*BASE, "language", "chars", "bits"],
+        [*BASE, "language", "chars", found.split()[0]],
     )
+    if scored is not None:
+        rated = rated.join(scored, ["language", "text_key"], "left")
     rated = saved(
         rated.withColumn(
             "base_failed",
@@ -224,18 +152,17 @@ def rate(
     )
     fit_for = rated.filter("NOT base_failed AND bits IS NOT NULL")
     middle = fit_for.groupBy("language").agg(F.percentile_approx("bits", 0.5, 1000).alias("middle"))
-    middle = saved(middle, "medians")
+    middle = broadcast_if_small(saved(middle, "medians"))
     off = F.abs(F.col("bits") - F.col("middle"))
     spread = (
-        fit_for.join(F.broadcast(middle), "language")
+        fit_for.join(middle, "language")
         .groupBy("language", "middle")
         .agg(F.greatest(F.percentile_approx(off, 0.5, 1000), F.lit(0.02)).alias("spread"))
     )
-    spread = saved(spread, "bands")
-    scatter = F.col("spread") * F.sqrt(1 + 400 / F.col("chars"))
+    spread = broadcast_if_small(saved(spread, "bands"))
+    scatter = F.col("spread") * F.sqrt(1 + 400 / F.greatest("chars", F.lit(1)))
     distance = F.col("bits") - F.col("middle")
-    # At most LANGUAGES rows.
-    judged = rated.join(F.broadcast(spread), "language", "left")
+    judged = rated.join(spread, "language", "left")
     inside = F.coalesce(distance.between(-below * scatter, above * scatter), F.lit(False))
     return judged.select(
         "doc_id", *BASE, "base_failed", "bits", (~F.col("base_failed") & inside).alias("kept")
