@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from cartwright.llm import char_model, quality_rules
 
@@ -56,8 +57,8 @@ def test_model_equals_a_plain_estimate(make_docs, monkeypatch):
         found = defaultdict(dict)
         for r in char_model.estimate(counted).collect():
             found[r.language][r.gram] = r.log2
-        assert len(found) == 2
-        for lang, key in ((None, "10"), ("fr", "21")):
+        assert set(found) == {"", "=fr"}
+        for lang, key in ((None, ""), ("fr", "=fr")):
             grams = Counter(g for t in texts[lang] if t for g in char_model.text_grams(t))
             expected = plain_estimate(grams)
             assert found[key].keys() == expected.keys()
@@ -78,3 +79,13 @@ def test_results_do_not_depend_on_the_size_of_the_model(make_docs, monkeypatch,
     for a, b in zip(*found):
         assert a.asDict() | {"bits": 0} == b.asDict() | {"bits": 0}
         assert (a.bits is None) == (b.bits is None) and np.isclose(a.bits or 0, b.bits or 0)
+
+
+@pytest.mark.parametrize("one,other", [("fr", "el"), ("pl", None), ("ru", "tr"), (None, "")])
+def test_languages_are_told_apart(make_docs, one, other):
+    rng = random.Random(3)
+    large = [(i, prose(rng, LATIN), one) for i in range(90)]
+    few = [(200 + i, prose(rng, GREEK), other) for i in range(9)]
+    alone = {r.doc_id: r.bits for r in quality_rules.rate(make_docs(few)).collect()}
+    both = {r.doc_id: r for r in quality_rules.rate(make_docs(large + few)).collect()}
+    assert all(np.isclose(both[i].bits, alone[i]) and both[i].kept for i in alone)
