@@ -89,3 +89,15 @@ def test_languages_are_told_apart(make_docs, one, other):
     alone = {r.doc_id: r.bits for r in quality_rules.rate(make_docs(few)).collect()}
     both = {r.doc_id: r for r in quality_rules.rate(make_docs(large + few)).collect()}
     assert all(np.isclose(both[i].bits, alone[i]) and both[i].kept for i in alone)
+
+
+def test_characters_are_told_apart(make_docs):
+    rng = random.Random(4)
+    parts = ["".join(rng.choices(GREEK, k=2)) for _ in range(8)]
+    text = lambda: " ".join(rng.choice(parts) + rng.choice(parts) for _ in range(150))
+    rows = [(i, text(), "el") for i in range(150)]
+    # Every letter stays the same modulo 5, and each has four shapes.
+    other = "".join(c if c == " " else chr(ord(c) + 5 * rng.randrange(4, 8)) for c in text())
+    found = {r.doc_id: r for r in quality_rules.rate(make_docs([*rows, (500, other, "el")])).collect()}
+    assert not found[500].kept and not found[500].base_failed
+    assert sum(found[i].kept for i in range(150)) >= 148
