@@ -47,10 +47,10 @@ def sentences(text: str) -> list[str]:
 
 
 def spans(parts: list[str], min_sentences: int, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """(start, length, digest) of the shortest run from every sentence on that is long enough.
+    """(start, length, digest) of the shortest runs that are long enough, from every start and to every end.
 
-    Whitespace around sentences doesn't matter. At the end of the text, where no run is long enough,
-    nothing starts.
+    Both edges of a repeated passage are edges of such runs. Whitespace around sentences doesn't matter.
+    A text without a long enough run is one run.
     """
     counts = [0]
     bare = []
@@ -58,15 +58,26 @@ def spans(parts: list[str], min_sentences: int, min_words: int) -> Iterator[tupl
         words = part.split()
         counts.append(counts[-1] + len(words))
         bare.append(" ".join(words))
+    runs = set()
     end = 0
     for start in range(len(parts)):
         end = max(end, start + min_sentences)
         while end <= len(parts) and counts[end] - counts[start] < min_words:
             end += 1
         if end > len(parts):
-            return
+            break
         if bare[start]:
-            yield start, end - start, xxhash.xxh3_128_digest("\n".join(bare[start:end]))
+            runs.add((start, end - start))
+    start = 0
+    for end in range(min_sentences, len(parts) + 1):
+        while start < end - min_sentences and counts[end] - counts[start + 1] >= min_words:
+            start += 1
+        if counts[end] - counts[start] >= min_words:
+            runs.add((start, end - start))
+    for start, length in sorted(runs):
+        yield start, length, xxhash.xxh3_128_digest("\n".join(bare[start : start + length]))
+    if not runs and counts[-1]:
+        yield 0, len(parts), xxhash.xxh3_128_digest("\n".join(filter(None, bare)))
 
 
 def _list_spans(min_sentences: int, min_words: int):
@@ -116,12 +127,12 @@ def remove_repeated_spans(
 ) -> DataFrame:
     """Remove every sentence covered by a span of sentences that stands earlier in the collection.
 
-    From every sentence on, the shortest run of at least ``min_sentences`` sentences and ``min_words``
-    words is a span. Of equal spans the first one of the document with the smallest doc_id (NULL last)
+    From every sentence on, and up to every sentence, the shortest run of at least ``min_sentences``
+    sentences and ``min_words`` words is a span; a text too short for one is a span as a whole. Of equal spans the first one of the document with the smallest doc_id (NULL last)
     stays; the sentences of all others go, also within one document. Spans are equal if their sentences
     are, up to whitespace, by a 96-bit hash.
 
-    A text that is NULL, empty, or too short for one span stays as it is. Rows that share
+    A text that is NULL or blank stays as it is. Rows that share
     an id don't take spans from one another. Returns all columns of ``documents`` with ``text``
     replaced, and one struct ``span_dedup`` (n_sentences, n_removed, n_spans: maximal removed runs);
     other columns may have any names but that. An empty table stays empty.
