@@ -106,15 +106,16 @@ def rate(
     min_words: int = 20,
     most_repeated: int = 30,
     below: float = 7.0,
-    above: float = 12.0,
+    above: float = 7.0,
 ) -> DataFrame:
     """Base measures of every document and whether it is kept.
 
     A text fails the base rules with fewer than ``min_words`` words or with more than
     ``most_repeated`` percent of its words in repeated windows of eight. The others are judged by a
     modified Kneser-Ney model over four characters (code points), counted over all texts of their
-    language, by its value: bits per character more than ``below`` or ``above`` times the median absolute deviation away from the
-    language's median, on the lower or upper side, reject a document. Short texts scatter more, so their bands are wider by
+    language, by its value: bits per character more than ``below`` or ``above`` times the median
+    absolute deviation away from the language's median, on the lower or upper side, reject a document;
+    both limits are the same. Short texts scatter more, so their bands are wider by
     sqrt(1 + 400 / characters). The deviation counts as 0.02 bits at least.
 
     Returns doc_id, the measures of BASE, base_failed, bits (NULL for an empty text) and kept; one row

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
 from collections import Counter, defaultdict
@@ -101,3 +102,8 @@ def test_characters_are_told_apart(make_docs):
     found = {r.doc_id: r for r in quality_rules.rate(make_docs([*rows, (500, other, "el")])).collect()}
     assert not found[500].kept and not found[500].base_failed
     assert sum(found[i].kept for i in range(150)) >= 148
+
+
+def test_both_limits_are_the_same():
+    limits = inspect.signature(quality_rules.rate).parameters
+    assert limits["above"].default == limits["below"].default
