@@ -41,7 +41,12 @@ def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing (10): how often each remaining document is taken."""
+    """Mixing (10): how often each remaining document is taken.
+
+    This is a plan with one row per remaining document, those of no copies included, and without
+    text: the mix itself is up to twice as large, and ``mixing.emit`` makes it from the documents
+    and the plan where it is read. The pipeline's test asks for the plan's row count.
+    """
     return mixing.mix(docs, SOURCE_WEIGHTS)
 
 
