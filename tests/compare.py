@@ -33,6 +33,7 @@ def rows_of(columns: list[str], rows: list[tuple]) -> Counter:
 
 SPARK_TYPES = {
     "bigint": "BIGINT",
+    "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
