@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
+    chunk_dedup,
     decontaminate,
+    fill_middle,
+    hard_negatives,
     jaccard_join,
     line_dedup,
     mixing,
@@ -86,6 +89,31 @@ def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    embeddings = table(spark, directory, "embeddings")
+    label = F.col("label").cast("long")
+    changed = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(embeddings.withColumn("label", changed))
+
+
+def op12_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return chunk_dedup.find_copies(table(spark, directory, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, directory: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, directory, "documents").select("doc_id", "text"))
+    output, form = F.col("fill_middle.output"), F.col("fill_middle.form")
+    return made.select(
+        "doc_id",
+        "fill_middle.n",
+        form,
+        "fill_middle.prefix_chars",
+        "fill_middle.middle_chars",
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     registered = (
         op1_warc,
@@ -98,6 +126,9 @@ def queries() -> dict[str, Query]:
         op8_jaccard_join,
         op9_url_filters,
         op10_mixing,
+        op11_hard_negatives,
+        op12_exact_dedup,
+        op13_fill_in_middle,
     )
     return {query.__name__: query for query in registered}
 
@@ -203,6 +234,70 @@ FROM listed l LEFT JOIN sizes s ON s.doc_id = l.doc_id LEFT JOIN reached r ON r.
 """
 
 
+OP11_SQL = r"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS MATERIALIZED (
+  SELECT vec_id, label, unnest(range(len(embedding))) AS at,
+    CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+  FROM usable),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor, r.vec_id AS other, a.label = r.label AS same, CAST(sum(a.x * r.x) AS BIGINT) AS score
+  FROM flat a JOIN flat r ON a.at = r.at AND a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0
+  GROUP BY ALL),
+positives AS (
+  SELECT anchor, other AS positive, score AS limit_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT p.anchor, p.positive, p.limit_score, s.other, s.score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other) AS place
+  FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+    AND 80 * p.limit_score <= 100 * s.score AND s.score <= p.limit_score)
+SELECT anchor AS anchor_id, positive AS positive_id, CAST(place AS INTEGER) AS rank, other AS negative_id,
+  limit_score AS positive_score, score AS negative_score
+FROM ranked WHERE place <= 5
+"""
+
+
+OP12_SQL = r"""
+WITH listed AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM listed WINDOW same AS (PARTITION BY t)
+"""
+
+
+OP13_SQL = r"""
+WITH lined AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(lines) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS is_plain
+  FROM lined),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS one, greatest(h1 % (n + 1), h2 % (n + 1)) AS two FROM drawn),
+parts AS (
+  SELECT *, array_to_string(lines[1:one], '') AS p, array_to_string(lines[one + 1:two], '') AS m,
+    array_to_string(lines[two + 1:], '') AS s,
+    CASE WHEN is_plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN NOT is_plain THEN length(p) END AS prefix_chars,
+  CASE WHEN NOT is_plain THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>'||p||'<S>'||s||'<M>'||m
+    ELSE '<S>'||s||'<P>'||p||'<M>'||m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_decontamination": OP2_SQL, "op8_jaccard_join": OP8_SQL,
-        "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL}
+        "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL,
+        "op11_hard_negatives": OP11_SQL, "op12_exact_dedup": OP12_SQL, "op13_fill_in_middle": OP13_SQL}

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from cartwright.llm import queries
 
-DATA_TABLES = ("documents", "pages", "benchmark", "labels")
+DATA_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +25,9 @@ def test_query_equals_oracle(spark, data, duck, name):
     assert compare.difference(queries.queries()[name](spark, data), duck, queries.oracle_sql()[name]) is None
 
 
-def test_ten_operators():
+def test_thirteen_operators():
     numbers = {int(name[2:].split("_")[0]) for name in queries.queries()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_pipeline_stages_take_effect(spark, data):
