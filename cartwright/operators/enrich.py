@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwright.config import RuleBook
 from cartwright.functions import metrics
-from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, spread_join
+from cartwright.operators.joins import DEFAULT_SKEW, Heavy, SkewPolicy, broadcastable, heavy_keys, spread_join
 from cartwright.operators.stage import add_layers
 
 # Columns that carry the same name in several domains and the prefix they get.
@@ -64,8 +64,29 @@ def prefixed(stage: DataFrame, domain: str, rules: RuleBook) -> DataFrame:
     return stage.withColumnsRenamed({name: f"{prefix}_{name}" for name in names})
 
 
+def join_profile(
+    stages: dict[str, DataFrame], policy: SkewPolicy = DEFAULT_SKEW
+) -> dict[tuple[str, str], Heavy]:
+    """The heaviest join keys of the stages, for ``enriched_orders``: one job over the key columns.
+
+    A stage within the broadcast limit isn't read, and the orders only for stages beyond it.
+    """
+    large = {
+        domain: key
+        for domain, key in _JOINED
+        if policy.always_spread or not broadcastable(stages[domain])
+    }
+    frames = {domain: (stages[domain], [key]) for domain, key in large.items()}
+    if large:
+        frames["orders"] = (stages["orders"], sorted(set(large.values())))
+    return heavy_keys(frames, policy)
+
+
 def enriched_orders(
-    stages: dict[str, DataFrame], rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW
+    stages: dict[str, DataFrame],
+    rules: RuleBook,
+    policy: SkewPolicy = DEFAULT_SKEW,
+    profile: dict[tuple[str, str], Heavy] | None = None,
 ) -> DataFrame:
     """Orders left-joined with all other domains, plus the derived order columns.
 
@@ -73,7 +94,11 @@ def enriched_orders(
     need a shuffle, the narrow shipping columns are joined first and the inventory fan-out last,
     next to the products on the same placement, so that the widest and most numerous rows are never
     shuffled again. Neither that order nor the columns' depends on the size of a side.
+
+    ``profile`` has the heaviest keys by (domain, column) where they are known, as from ``join_profile``
+    or from the writes of the stages.
     """
+    profile = join_profile(stages, policy) if profile is None else profile
     sides = {
         domain: prefixed(stages[domain], domain, rules)
         for domain in ("customers", "products", "inventory", "shipping")
@@ -83,13 +108,22 @@ def enriched_orders(
         sides["shipping"] = sides["shipping"].select("order_id", *SHIPPING_PAYLOAD)
     orders = stages["orders"]
     steps = {
-        "order_id": [sides["shipping"]],
-        "customer_id": [sides["customers"]],
-        "product_id": [sides["products"], sides["inventory"]],
+        "order_id": ["shipping"],
+        "customer_id": ["customers"],
+        "product_id": ["products", "inventory"],
     }
     fact = orders
-    for key, right in steps.items():
-        fact = spread_join(fact, right, key, "left", policy=policy, left_keys=orders)
+    for key, domains in steps.items():
+        fact = spread_join(
+            fact,
+            [sides[domain] for domain in domains],
+            key,
+            "left",
+            policy=policy,
+            left_heavy=profile.get(("orders", key), {}),
+            right_heavy=[profile.get((domain, key), {}) for domain in domains],
+            left_cells_by=["order_id"],
+        )
     fact = fact.select(*_contract_columns(orders, sides))
     return add_layers(fact, metrics.order_fact_layers(rules))
 

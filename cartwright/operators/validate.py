@@ -1,15 +1,16 @@
 """Cross-table checks: the offending rows of each check, and all counts in one plan.
 
-The row form returns the rows a check complains about. The count form never joins fact rows: every
-side is first reduced to one row per key, the sides are stacked, and a single grouping per key
-yields all checks on that key. The partial aggregation runs before the shuffle, so a key with a
-third of all rows reaches the shuffle as one row per task.
+The row form returns the rows a check complains about. The count form joins nothing: every row of
+every stage becomes one entry for each of its keys, the entries of all stages are grouped once, and all
+checks are sums over the groups. Each stage is read once. The partial aggregation runs before the
+shuffle, so a key with a third of all rows reaches the shuffle as one row per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -141,36 +142,53 @@ DOMAINS_OF: dict[str, tuple[str, ...]] = {
 
 # --- counts -------------------------------------------------------------------------------------
 
+# The kinds of keys that rows are grouped by; prices and stocks stand beside a product's key.
+_CUSTOMER, _PRODUCT, _ORDER, _PRICE, _STOCK = "customer", "product", "order", "price", "stock"
 
-def _per_key(df: DataFrame, key: str, measures: dict[str, Column]) -> DataFrame:
-    return df.groupBy(F.col(key).alias("key")).agg(
-        *(measure.alias(name) for name, measure in measures.items())
-    )
 
+@dataclass(frozen=True)
+class _Entry:
+    """One key of a row and what the row adds to the measures of that key."""
+
+    kind: str
+    key: str
+    measures: dict[str, Column | int]
+    value: Column | None = None
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
 
+def _entries(stage: DataFrame, entries: list[_Entry], names: list[str]) -> DataFrame:
+    """The entries of every row of a stage, as (kind, key, value, measures)."""
 
-def _by_key(*sides: DataFrame) -> DataFrame:
-    """Stack per-key measures of several tables and add them up per key; absent means 0."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
-    names = [name for name in stacked.columns if name != "key"]
-    return stacked.groupBy("key").agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
+    def entry(e: _Entry) -> Column:
+        value = F.lit(None) if e.value is None else e.value
+        amounts = [F.coalesce(F.lit(e.measures.get(n, 0)).cast("bigint"), F.lit(0)).alias(n) for n in names]
+        return F.struct(
+            F.lit(e.kind).alias("kind"), F.col(e.key).alias("key"), value.cast("decimal(20,2)").alias("value"), *amounts
+        )
+
+    return stage.select(F.inline(F.array(*map(entry, entries))))
 
 
 def _total(amount: Column) -> Column:
     return F.coalesce(F.sum(amount), F.lit(0)).cast("bigint")
 
 
-def _without(own: str, other: str) -> Column:
+def _of(kind: str, amount: Column) -> Column:
+    return F.when(F.col("kind") == kind, amount)
+
+
+def _sum(kind: str, name: str) -> Column:
+    return _total(_of(kind, F.col(name)))
+
+
+def _without(kind: str, own: str, other: str) -> Column:
     """Rows of one side whose key the other side lacks; a NULL key has no partner."""
-    return _total(F.when(F.col("key").isNull() | (F.col(other) == 0), F.col(own)))
+    return _total(_of(kind, F.when(F.col("key").isNull() | (F.col(other) == 0), F.col(own))))
 
 
-def _pairs(own: str, other: str) -> Column:
+def _pairs(kind: str, own: str, other: str) -> Column:
     """Rows an inner join of two sides would give."""
-    return _total(F.when(F.col("key").isNotNull(), F.col(own) * F.col(other)))
+    return _total(_of(kind, F.when(F.col("key").isNotNull(), F.col(own) * F.col(other))))
 
 
 def _as_rows(counts: DataFrame) -> DataFrame:
@@ -182,103 +200,10 @@ def _as_rows(counts: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def _customer_counts(stages: Stages, rules: RuleBook) -> DataFrame:
-    orders = _per_key(
-        stages["orders"],
-        "customer_id",
-        {
-            "orders": _rows(),
-            "cheap": F.count_if(below_premium(rules)),
-            "unreasonable": F.count_if(unreasonable_amount(rules)),
-            "off_hours": F.count_if(outside_hours(rules)),
-        },
-    )
-    customers = _per_key(
-        stages["customers"],
-        "customer_id",
-        {"customers": _rows(), "premium": F.count_if(F.col("customer_tier") == "premium")},
-    )
-    return _by_key(orders, customers).agg(
-        _without("orders", "customers").alias("orphaned_orders"),
-        _without("customers", "orders").alias("orphaned_customers"),
-        _total(F.col("unreasonable")).alias("unreasonable_order_amounts"),
-        _pairs("cheap", "premium").alias("low_value_premium_orders"),
-        _total(F.col("off_hours")).alias("orders_outside_hours"),
-    )
-
-
-def _product_counts(stages: Stages, rules: RuleBook) -> DataFrame:
-    stock = F.col("stock_quantity")
-    orders = _per_key(stages["orders"], "product_id", {"orders": _rows()})
-    products = _per_key(
-        stages["products"],
-        "product_id",
-        {"products": _rows(), "ended": F.count_if(F.col("discontinued"))},
-    )
-    inventory = _per_key(stages["inventory"], "product_id", {"inventory": _rows()})
-    return _by_key(orders, products, inventory).agg(
-        _without("orders", "products").alias("orders_invalid_product"),
-        _without("products", "inventory").alias("products_without_inventory"),
-        _pairs("orders", "ended").alias("discontinued_product_orders"),
-        _without("products", "orders").alias("products_without_orders"),
-        _without("inventory", "products").alias("inventory_without_products"),
-    )
-
-
-def _order_counts(stages: Stages, rules: RuleBook) -> DataFrame:
-    orders = _per_key(stages["orders"], "order_id", {"orders": _rows()})
-    shipping = _per_key(
-        stages["shipping"],
-        "order_id",
-        {"shipping": _rows(), "unreasonable": F.count_if(unreasonable_cost(rules))},
-    )
-    return _by_key(orders, shipping).agg(
-        _without("orders", "shipping").alias("orders_without_shipping"),
-        _total(F.col("unreasonable")).alias("unreasonable_shipping_cost"),
-        _without("shipping", "orders").alias("shipping_without_orders"),
-    )
-
-
-def _pairs_that_differ(
-    name: str,
-    left: tuple[DataFrame, str],
-    right: tuple[DataFrame, str],
-    condition: Column,
-    policy: SkewPolicy,
-) -> DataFrame:
-    """Count joined product pairs meeting ``condition``, joining distinct (key, value) rows only."""
-    sides = [
-        df.filter(F.col("product_id").isNotNull())
-        .groupBy("product_id", value)
-        .agg(_rows().alias(weight))
-        for (df, value), weight in ((left, "left_rows"), (right, "right_rows"))
-    ]
-    paired = spread_join(sides[0], sides[1], "product_id", policy=policy).filter(condition)
-    return paired.agg(_total(F.col("left_rows") * F.col("right_rows")).alias(name))
-
-
-def _price_counts(stages: Stages, rules: RuleBook, policy: SkewPolicy) -> DataFrame:
-    return _pairs_that_differ(
-        "price_mismatch",
-        (stages["orders"], "order_amount"),
-        (stages["products"], "price"),
-        price_differs(rules),
-        policy,
-    )
-
-
-def _stock_counts(stages: Stages, rules: RuleBook, policy: SkewPolicy) -> DataFrame:
-    renamed = {
-        name: stages[name].select("product_id", F.col("stock_quantity").alias(f"{name}_stock"))
-        for name in ("inventory", "products")
-    }
-    return _pairs_that_differ(
-        "stock_mismatch",
-        (renamed["inventory"], "inventory_stock"),
-        (renamed["products"], "products_stock"),
-        F.expr("inventory_stock != products_stock"),
-        policy,
-    )
+def _within_tolerance(rules: RuleBook) -> list[Column]:
+    """All amounts, in whole cents apart, from which a price doesn't differ."""
+    cents = int(Decimal(rules.thresholds.price_tolerance).quantize(Decimal("0.01"), ROUND_HALF_UP) * 100)
+    return [F.col("price") + F.lit(step).cast("decimal(20,2)") / 100 for step in range(-cents, cents + 1)]
 
 
 def check_counts(
@@ -289,17 +214,87 @@ def check_counts(
 ) -> DataFrame:
     """(validation_type, count) for all checks, stored or not, from one plan.
 
+    Pairs whose values differ are all pairs with values less those whose values agree; an order's amount
+    agrees with a price if it is one of the amounts within the tolerance, in cents, and so meets
+    it in one group.
+
     The stock check belongs to the older rules; ``stock_check`` overrides that.
     """
-    families = [
-        _customer_counts(stages, rules),
-        _product_counts(stages, rules),
-        _order_counts(stages, rules),
-        _price_counts(stages, rules, policy),
+    stock_check = rules.is_v1 if stock_check is None else stock_check
+    amount, price, stock = F.col("order_amount"), F.col("price"), F.col("stock_quantity")
+    orders = [
+        _Entry(
+            _CUSTOMER,
+            "customer_id",
+            {
+                "orders": 1,
+                "cheap": below_premium(rules),
+                "unreasonable": unreasonable_amount(rules),
+                "off_hours": outside_hours(rules),
+            },
+        ),
+        _Entry(_PRODUCT, "product_id", {"orders": 1, "valued": amount.isNotNull()}),
+        _Entry(_ORDER, "order_id", {"orders": 1}),
+        _Entry(_PRICE, "product_id", {"orders": 1}, amount),
+    ]
+    customers = [
+        _Entry(_CUSTOMER, "customer_id", {"customers": 1, "premium": F.col("customer_tier") == "premium"})
+    ]
+    products = [
+        _Entry(
+            _PRODUCT,
+            "product_id",
+            {"products": 1, "ended": F.col("discontinued"), "priced": price.isNotNull()},
+        ),
+        *(_Entry(_PRICE, "product_id", {"products": 1}, near) for near in _within_tolerance(rules)),
+    ]
+    inventory = [_Entry(_PRODUCT, "product_id", {"inventory": 1})]
+    shipping = [
+        _Entry(_ORDER, "order_id", {"shipping": 1, "unreasonable": unreasonable_cost(rules)})
     ]
-    if rules.is_v1 if stock_check is None else stock_check:
-        families.append(_stock_counts(stages, rules, policy))
-    return reduce(DataFrame.unionByName, map(_as_rows, families))
+    if stock_check:
+        products += [
+            _Entry(_PRODUCT, "product_id", {"stocked": stock.isNotNull()}),
+            _Entry(_STOCK, "product_id", {"products": 1}, stock),
+        ]
+        inventory += [
+            _Entry(_PRODUCT, "product_id", {"counted": stock.isNotNull()}),
+            _Entry(_STOCK, "product_id", {"inventory": 1}, stock),
+        ]
+    listed = {
+        "orders": orders,
+        "customers": customers,
+        "products": products,
+        "inventory": inventory,
+        "shipping": shipping,
+    }
+    names = list(dict.fromkeys(n for entries in listed.values() for e in entries for n in e.measures))
+    stacked = reduce(
+        DataFrame.unionAll, (_entries(stages[domain], entries, names) for domain, entries in listed.items())
+    )
+    grouped = stacked.groupBy("kind", "key", "value").agg(*(F.sum(n).alias(n) for n in names))
+    # A group without a value holds rows that have none, and agrees with no other.
+    agreeing = F.when(F.col("value").isNotNull() & F.col("key").isNotNull(), F.col("orders") * F.col("products"))
+    counts = {
+        "orphaned_orders": _without(_CUSTOMER, "orders", "customers"),
+        "orphaned_customers": _without(_CUSTOMER, "customers", "orders"),
+        "unreasonable_order_amounts": _sum(_CUSTOMER, "unreasonable"),
+        "low_value_premium_orders": _pairs(_CUSTOMER, "cheap", "premium"),
+        "orders_outside_hours": _sum(_CUSTOMER, "off_hours"),
+        "orders_invalid_product": _without(_PRODUCT, "orders", "products"),
+        "products_without_inventory": _without(_PRODUCT, "products", "inventory"),
+        "discontinued_product_orders": _pairs(_PRODUCT, "orders", "ended"),
+        "products_without_orders": _without(_PRODUCT, "products", "orders"),
+        "inventory_without_products": _without(_PRODUCT, "inventory", "products"),
+        "orders_without_shipping": _without(_ORDER, "orders", "shipping"),
+        "unreasonable_shipping_cost": _sum(_ORDER, "unreasonable"),
+        "shipping_without_orders": _without(_ORDER, "shipping", "orders"),
+        "price_mismatch": _pairs(_PRODUCT, "valued", "priced") - _total(_of(_PRICE, agreeing)),
+    }
+    if stock_check:
+        same = F.when(F.col("value").isNotNull() & F.col("key").isNotNull(), F.col("inventory") * F.col("products"))
+        counts["stock_mismatch"] = _pairs(_PRODUCT, "counted", "stocked") - _total(_of(_STOCK, same))
+    return _as_rows(grouped.agg(*(count.alias(name) for name, count in counts.items())))
 
 
 # --- results ------------------------------------------------------------------------------------

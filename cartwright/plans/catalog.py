@@ -21,6 +21,7 @@ from cartwright.config import RuleBook, v1_rules, v2_rules
 from cartwright.operators import enrich, quality, scd2, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.sinks.process_log import log_rows
+from cartwright.sinks.shared import stored, stored_and_counted
 from cartwright.sources.sample import AS_OF, raw_view, raw_views, sample_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,11 +62,6 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Compute a frame that is used several times once, if the session names a folder to keep it in."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
-
-
 def sample_stages(
     spark: SparkSession,
     directory: str,
@@ -154,19 +150,30 @@ def _process_log(spark: SparkSession, directory: str) -> DataFrame:
     return plain(log_rows(reduce(DataFrame.unionByName, counts), V2))
 
 
+#: What the analytics and their history read of the order fact.
+SALES = (
+    "order_id", "customer_id", "product_id", "order_date", "order_amount", "category",
+    "order_profit_margin", "estimated_clv",
+)
+
+
 def _row_counts(spark: SparkSession, directory: str) -> DataFrame:
-    fact, stages = sample_fact(spark, directory, V2)
-    tables = {
-        **{f"{domain}_stage": df for domain, df in stages.items()},
-        "enriched_orders": fact,
+    """Rows of the eight tables: those that are written are counted by their writes."""
+    stages, counts = {}, {}
+    for domain, df in sample_stages(spark, directory, V2).items():
+        stages[domain], counts[f"{domain}_stage"] = stored_and_counted(df, f"{domain}_stage")
+    fact = enrich.enriched_orders(stages, V2).select(*SALES)
+    fact, counts["enriched_orders"] = stored_and_counted(fact, "enriched_orders")
+    written = spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+    analytics = {
         "customer_analytics": enrich.customer_analytics(fact, stages["customers"], V2),
         "product_analytics": enrich.product_analytics(fact, stages["products"], V2),
     }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
-        for name, df in tables.items()
+    others = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in analytics.items()
     ]
-    return plain(reduce(DataFrame.unionByName, counts))
+    return plain(reduce(DataFrame.unionByName, others, written))
 
 
 def _fact(rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW) -> Query:
@@ -174,37 +181,30 @@ def _fact(rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW) -> Query:
 
 
 def _customers(
-    spark: SparkSession,
-    directory: str,
-    rules: RuleBook,
-    when: str = "true",
-    policy: SkewPolicy = DEFAULT_SKEW,
+    spark: SparkSession, directory: str, rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
     fact, stages = sample_fact(spark, directory, rules)
-    return enrich.customer_analytics(fact.filter(when), stages["customers"], rules, policy)
+    return enrich.customer_analytics(fact, stages["customers"], rules, policy)
 
 
 def _products(
-    spark: SparkSession,
-    directory: str,
-    rules: RuleBook,
-    when: str = "true",
-    policy: SkewPolicy = DEFAULT_SKEW,
+    spark: SparkSession, directory: str, rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
     fact, stages = sample_fact(spark, directory, rules)
-    return enrich.product_analytics(fact.filter(when), stages["products"], rules, policy)
-
-
-def _orders(
-    spark: SparkSession, directory: str, rules: RuleBook, when: str = "true"
-) -> DataFrame:
-    return sample_fact(spark, directory, rules)[0].filter(when)
-
-
-_LOADS = {
-    "orders_target": _orders,
-    "customers_target": _customers,
-    "products_target": _products,
+    return enrich.product_analytics(fact, stages["products"], rules, policy)
+
+
+# What each history takes from the order fact, and how its rows come from the part of one load.
+_SOURCES: dict[str, tuple[tuple[str, ...], Callable[[DataFrame, dict, RuleBook], DataFrame]]] = {
+    "orders_target": (scd2.ORDER_HISTORY, lambda fact, stages, rules: fact),
+    "customers_target": (
+        SALES,
+        lambda fact, stages, rules: enrich.customer_analytics(fact, stages["customers"], rules),
+    ),
+    "products_target": (
+        SALES,
+        lambda fact, stages, rules: enrich.product_analytics(fact, stages["products"], rules),
+    ),
 }
 
 
@@ -215,11 +215,20 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
     """
     history = scd2.HISTORIES[table]
     second_day = replace(rules, as_of=AS_OF + dt.timedelta(days=1))
+    columns, rows_of = _SOURCES[table]
 
     def query(spark: SparkSession, directory: str) -> DataFrame:
+        fact, stages = sample_fact(spark, directory, rules)
+        fact = fact.select(*columns)
+        # Both loads read the one fact.
+        fact = stored(fact, "fact") if load_twice else fact
+
+        def load(when: str) -> DataFrame:
+            return history.batch(rows_of(fact.filter(when), stages, rules))
+
         # The rows themselves are computed as of the sample's day; only the history moves on.
-        first = history.batch(_LOADS[table](spark, directory, rules, FIRST_LOAD if load_twice else "true"))
-        first = settled(first) if load_twice else first
+        first = load(FIRST_LOAD if load_twice else "true")
+        first = stored(first, "first") if load_twice else first
         state = scd2.stamp_current(first, rules)
         if closed:
             month_ago = F.lit(AS_OF - dt.timedelta(days=30))
@@ -228,7 +237,7 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
                 state.withColumns({**older, "is_current": F.lit(False)})
             )
         if load_twice:
-            batch = settled(history.batch(_LOADS[table](spark, directory, rules, SECOND_LOAD)))
+            batch = stored(load(SECOND_LOAD), "batch")
             guard = history.guarded(rules)
             state = scd2.scd2_apply(state, batch, history.key, second_day, guard)
         return plain(state)

@@ -7,7 +7,8 @@ import re
 import pytest
 from cartwright.config import v2_rules
 from cartwright.operators import enrich, quality, scd2, stage, summary, validate
-from cartwright.operators.joins import SkewPolicy
+from cartwright.operators.joins import SkewPolicy, spread_join
+from cartwright.plans import catalog
 from cartwright.plans.catalog import sample_stages
 from cartwright.sources.sample import sample_rules
 
@@ -60,15 +61,67 @@ def test_stage_rows_need_no_shuffle(stages):
         assert shuffles(stage.accept_and_derive(stages[domain], domain, RULES)) == 0
 
 
-def test_checks_shuffle_keys_only_and_join_no_fact_rows(stages):
-    counts = validate.check_counts(stages, RULES)
-    for columns in scanned(counts):
-        assert len(columns.split(",")) <= 5, columns
-    text = plan(counts)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "LeftAnti" not in text
-    # One shuffle per table and key, one for the single row of each family.
-    assert shuffles(counts) <= 7 + 4 + 2
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_checks_read_each_stage_once_and_join_nothing(stages):
+    for stock_check in (False, True):
+        counts = validate.check_counts(stages, RULES, stock_check=stock_check)
+        assert len(scanned(counts)) == 5
+        for columns in scanned(counts):
+            assert len(re.findall(r"\w+:", columns)) <= 5, columns
+        assert "Join" not in plan(counts)
+        # One shuffle for all keys of all stages, one for the single row of sums.
+        assert shuffles(counts) == 2
+        assert "partial_sum" in plan(counts)
+
+
+def test_report_over_large_sides_reads_its_columns_once(spark, data, no_broadcast):
+    """Without hot keys the joins are plain: columns are pruned and each raw table is read as often as used."""
+    report = catalog.queries()["seasonal_analysis"](spark, data)
+    assert "__cell" not in optimized(report)
+    assert len(scanned(report)) <= 9
+    read = {name for columns in scanned(report) for name in re.findall(r"([a-z]_\w+):", columns)}
+    assert not read & {"o_orderpriority", "o_clerk", "o_shippriority", "o_comment", "p_name", "p_brand", "c_name", "c_address"}
+    orders = max((c for c in scanned(report) if "o_orderkey" in c), key=len)
+    assert len(orders.split(":")) - 1 <= 5
+
+
+def test_row_counts_come_from_the_writes(spark, data):
+    assert len(scanned(catalog.queries()["row_counts"](spark, data))) <= 8
+
+
+def test_sketch_of_heavy_keys_reads_each_frame_once(stages, monkeypatch):
+    asked = []
+    monkeypatch.setattr(enrich, "heavy_keys", lambda frames, policy: asked.append(frames) or {})
+    enrich.join_profile(stages, SkewPolicy(always_spread=True))
+    assert {name: keys for name, (_, keys) in asked[0].items()} == {
+        "orders": ["customer_id", "order_id", "product_id"],
+        "customers": ["customer_id"],
+        "products": ["product_id"],
+        "inventory": ["product_id"],
+        "shipping": ["order_id"],
+    }
+    monkeypatch.undo()
+    found = enrich.join_profile(stages, SkewPolicy(always_spread=True))
+    counted = dict(stages["orders"].groupBy("customer_id").count().orderBy("count", ascending=False).limit(5).collect())
+    heavy = found["orders", "customer_id"]
+    assert all(heavy[key] == n for key, n in counted.items())
+
+
+def test_only_hot_keys_are_placed(spark, no_broadcast):
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id AS string)) AS k", "id AS a")
+    right = spark.range(3000).selectExpr("if(id % 30 = 0, 'hot', cast(id AS string)) AS k", "id AS b")
+    joined = spread_join(left, right, "k", policy=SkewPolicy(rows_per_cell=10_000))
+    assert "__cell_l_at" in optimized(joined) and joined.count() == 1000 * 100 + 2000
+    plain = spread_join(left, right, "k", policy=SkewPolicy(rows_per_cell=200_000))
+    assert "__cell" not in optimized(plain) and plain.count() == 1000 * 100 + 2000
 
 
 def test_small_dimensions_are_broadcast_and_orders_never_shuffled(stages):
