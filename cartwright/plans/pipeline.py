@@ -11,15 +11,16 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from cartwright import schemas
 from cartwright.config import RuleBook
 from cartwright.operators import enrich, quality, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.operators.scd2 import HISTORIES, History
-from cartwright.sinks.archive import archive_csv, check_archive
+from cartwright.sinks.archive import archive_csv, check_archive, file_set
 from cartwright.sinks.hadoop import Files
-from cartwright.sinks.history import HistoryStore
+from cartwright.sinks.history import HistoryTable
 from cartwright.sinks.landing import land, landed_schemas, part
 from cartwright.sinks.process_log import FROM_COUNTS, log_row
 from cartwright.sources.files import scan_csv
@@ -27,6 +28,9 @@ from cartwright.sources.tables import TableStore
 
 T = TypeVar("T")
 
+#: What tells the loads in a table of rejects apart.
+LOAD = "load_id"
+
 
 @dataclass(frozen=True)
 class Folders:
@@ -74,8 +78,8 @@ class Pipeline:
         self.rules = rules.pinned(self.spark)
         self.policy = policy
 
-    def history(self, table: str) -> HistoryStore:
-        return HistoryStore(self.spark, f"{self.root}/history/{table}")
+    def history(self, table: str) -> HistoryTable:
+        return HistoryTable(self.tables, table, f"{self.root}/history/{table}")
 
     def log(
         self,
@@ -101,7 +105,7 @@ class Pipeline:
         self.tables.point(f"{domain}_stage", part(f"{home}/{run}", stage.VALID), valid)
         if counts["invalid_records"] > 0:
             rows = spark.read.schema(rejected).parquet(part(f"{home}/{run}", stage.REJECTED))
-            self.tables.append(quality.annotate_rejects(rows, rules), f"{domain}_errors")
+            self._add_errors(domain, quality.annotate_rejects(rows, rules), file_set(raw))
         archived = archive_csv(raw, self.folders[domain].archive)
         # The stage table shows this run alone, so the files of earlier runs have no reader left.
         files = Files(spark)
@@ -110,6 +114,15 @@ class Pipeline:
                 files.remove(f"{home}/{earlier}")
         return LoadCounts(domain, counts, archived)
 
+    def _add_errors(self, domain: str, rejects: DataFrame, files: str) -> None:
+        """Add rejects to the domain's errors, in place of those an earlier attempt on the same files left."""
+        loads, location = f"{domain}_error_loads", f"{self.root}/errors/{domain}"
+        load = F.lit(f"{self.rules.batch()}-{files}")
+        rows = rejects.withColumn(LOAD, load)
+        self.tables.create_partitioned(loads, rows.schema, [LOAD], location)
+        self.tables.replace_partitions(rows, loads, [LOAD], location)
+        self.tables.show(f"{domain}_errors", loads, rejects.columns)
+
     def load_all(self) -> list[LoadCounts]:
         """All domains at once; the log is written afterwards, by one writer.
 

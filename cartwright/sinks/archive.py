@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
@@ -15,6 +16,14 @@ def _csv_paths(scanned: DataFrame) -> list[str]:
     return [path for path in map(unquote, scanned.inputFiles()) if path.endswith(".csv")]
 
 
+def file_set(scanned: DataFrame) -> str:
+    """A name for the files behind ``scanned``: the same files give the same one."""
+    digest = hashlib.sha256()
+    for path in sorted(scanned.inputFiles()):
+        digest.update(path.encode() + b"\n")
+    return digest.hexdigest()[:16]
+
+
 def check_archive(scanned: DataFrame, archive_dir: str) -> None:
     """Raise if archiving the files of ``scanned`` would meet a name that is taken.
 

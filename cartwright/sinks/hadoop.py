@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -43,19 +41,3 @@ class Files:
     def remove(self, path: str) -> None:
         fs, target = self._at(path)
         fs.delete(target, True)
-
-    def create(self, path: str, text: str) -> None:
-        """Write a small new file; it appears under its name only when it is complete.
-
-        Each attempt has a draft of its own, so one that died leaves nothing in the way of the next.
-        """
-        fs, target = self._at(path)
-        if fs.exists(target):
-            raise FileExistsError(path)
-        _, draft = self._at(f"{path}.{uuid.uuid4().hex}.draft")
-        stream = fs.create(draft, False)
-        stream.write(bytearray(text, "utf-8"))
-        stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise FileExistsError(path)

@@ -1,81 +1,66 @@
-"""Versioned storage of a history table on plain files.
+"""Type 2 histories as partitioned catalog tables.
 
-A run writes one directory with the rows that are current after it and the rows it closed, side by
-side, and then a commit file that names it. The history is the current part of the newest commit
-and the closed parts of all commits, so closed rows are written once and a run costs what the
-current rows and the batch cost, not what the whole history costs. A run that dies before its
-commit leaves the previous state readable; two runs at once cannot both commit.
+A history lies in buckets by a hash of its key. A merge reads and overwrites the buckets that its batch
+hits, and no others. Where closed rows are final they lie, within their bucket, in a partition of the
+day they were closed, so that earlier closed rows aren't read or written again; rows that are current have no
+such day and share one partition per bucket. Where closed rows may change, a bucket is one partition.
+
+Rows without a key never expire. Those of a load lie in a bucket of the load's day, which a batch of another
+day doesn't touch.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.config import RuleBook
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
 from cartwright.operators.scd2 import History, scd2_apply, stamp_current
-from cartwright.sinks.hadoop import Files
-
-
-@dataclass(frozen=True)
-class Commit:
-    version: int
-    current: str | None
-    closed: list[str]
-    schema: str
+from cartwright.sources.tables import TableStore
 
+BUCKET = "history_bucket"
+CLOSED_ON = "expiry_date"
 
-class HistoryStore:
-    """One history table below ``root``, a directory that all executors can reach."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self._files = Files(spark)
+@dataclass(frozen=True)
+class HistoryTable:
+    """The history ``table`` of a store, with its files in ``location``.
 
-    def _commits(self) -> list[int]:
-        names = self._files.names(f"{self.root}/commits")
-        return [int(name.removesuffix(".json")) for name in names if name.endswith(".json")]
+    The number of buckets is fixed with the first batch. It bounds what a merge lists on the driver.
+    """
 
-    def latest(self) -> Commit | None:
-        versions = self._commits()
-        if not versions:
-            return None
-        path = f"{self.root}/commits/{max(versions):08d}.json"
-        text = self.spark.read.option("wholetext", "true").text(path).first()[0]
-        return Commit(**json.loads(text))
+    tables: TableStore
+    table: str
+    location: str
+    buckets: int = 64
 
     def exists(self) -> bool:
-        return bool(self._commits())
+        return self.tables.exists(self.table)
 
-    def _load(self, commit: Commit, parts: list[str], current: bool) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(commit.schema))
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([field for field in schema if field.name != "is_current"])
-        paths = [f"{self.root}/data/{part}" for part in parts]
-        rows = self.spark.read.schema(stored).parquet(*paths)
-        return rows.withColumn("is_current", F.lit(current)).select(*schema.names)
-
-    def current(self) -> DataFrame:
-        commit = self._require()
-        return self._load(commit, [commit.current] if commit.current else [], True)
+    def _stored(self) -> DataFrame:
+        if not self.exists():
+            raise FileNotFoundError(f"no history {self.tables.name(self.table)}")
+        return self.tables.read(self.table)
 
     def read(self) -> DataFrame:
-        commit = self._require()
-        return self.current().unionByName(self._load(commit, commit.closed, False))
+        rows = self._stored()
+        # Partition columns come last in a table; here the flag does.
+        names = [name for name in rows.columns if name not in (BUCKET, CLOSED_ON, "is_current")]
+        return rows.select(*names, CLOSED_ON, "is_current")
 
-    def _require(self) -> Commit:
-        commit = self.latest()
-        if commit is None:
-            raise FileNotFoundError(f"no history below {self.root}")
-        return commit
+    def current(self) -> DataFrame:
+        return self.read().filter("is_current")
+
+    def _bucket(self, key: str, effective: Column) -> Column:
+        """0 to ``buckets`` - 1 for a key; below zero, by day, without one."""
+        day = F.datediff(effective, F.lit("1970-01-01").cast("date"))
+        return F.when(F.col(key).isNull(), -1 - day).otherwise(
+            F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+        )
 
     def merge(
         self,
@@ -83,34 +68,26 @@ class HistoryStore:
         history: History,
         rules: RuleBook,
         policy: SkewPolicy = DEFAULT_SKEW,
-    ) -> Commit:
-        """Apply a batch as one write and one commit; the first batch creates the table."""
-        before = self.latest()
+    ) -> list[int]:
+        """Apply a batch; the first one creates the table. Returns the buckets that were written."""
         guard = history.guarded(rules)
-        if before is None:
-            after = stamp_current(batch, rules)
-            closed_before: list[str] = []
+        layout = [BUCKET, CLOSED_ON] if guard else [BUCKET]
+        in_bucket = self._bucket(history.key, F.col("effective_date"))
+        added = stamp_current(batch, rules)
+        hit = sorted(row[0] for row in added.select(in_bucket).distinct().collect())
+        if not self.exists():
+            schema = T.StructType([*added.schema, T.StructField(BUCKET, T.IntegerType())])
+            self.tables.create_partitioned(self.table, schema, layout, self.location)
+            after = added
         else:
-            # Without the guard closed rows change too, so the closed parts are written anew.
-            target = self.current() if guard else self.read()
-            closed_before = before.closed if guard else []
+            if self.tables.partitioned_by(self.table) != layout:
+                raise ValueError(f"{self.table} was laid out for other rules")
+            slice_ = self._stored().filter(F.col(BUCKET).isin(hit))
+            if guard:
+                # Rows closed on this day by an earlier run share the partition this run writes.
+                slice_ = slice_.filter(F.col(CLOSED_ON).isNull() | (F.col(CLOSED_ON) == rules.today()))
+            target = slice_.select(*added.columns)
             after = scd2_apply(target, batch, history.key, rules, guard, policy)
-        version = 1 if before is None else before.version + 1
-        directory = f"version={version:08d}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.root}/data/{directory}"
-        after.write.partitionBy("is_current").parquet(path)
-
-        def part(value: str) -> list[str]:
-            name = f"{directory}/is_current={value}"
-            return [name] if self._files.exists(f"{self.root}/data/{name}") else []
-
-        current = part("true")
-        commit = Commit(
-            version=version,
-            current=current[0] if current else None,
-            closed=closed_before + part("false"),
-            schema=after.schema.json(),
-        )
-        self._files.make_dirs(f"{self.root}/commits")
-        self._files.create(f"{self.root}/commits/{version:08d}.json", json.dumps(vars(commit)))
-        return commit
+        if hit:
+            self.tables.replace_partitions(after.withColumn(BUCKET, in_bucket), self.table, layout, self.location)
+        return hit

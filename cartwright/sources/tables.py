@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class TableStore:
     """Tables of a pipeline in ``namespace`` (``database`` or ``catalog.database``)."""
@@ -43,7 +50,7 @@ class TableStore:
         if self.spark.catalog.tableExists(name):
             if self.spark.table(name).schema.simpleString() == schema.simpleString():
                 # Readers see the one location or the other, never no table.
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(path)}")
                 self.spark.catalog.refreshTable(name)
                 return
             self.spark.sql(f"DROP TABLE {name}")
@@ -52,3 +59,40 @@ class TableStore:
     def create(self, df: DataFrame, table: str) -> None:
         """Write a new table; an existing one is an error."""
         self._write(df, table, "errorifexists")
+
+    def create_partitioned(
+        self, table: str, schema: T.StructType, by: Sequence[str], location: str
+    ) -> None:
+        """Make a table of parquet files in ``location``, without rows, unless there is one."""
+        # Partition columns last, as the table will show them.
+        fields = sorted(schema.fields, key=lambda f: by.index(f.name) if f.name in by else -1)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet"
+            f" PARTITIONED BY ({', '.join(by)}) LOCATION {quoted(location)}"
+        )
+
+    def partitioned_by(self, table: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+
+    def replace_partitions(
+        self, df: DataFrame, table: str, by: Sequence[str], location: str
+    ) -> None:
+        """Overwrite the partitions that ``df`` has rows for; all others stay as they are.
+
+        ``df`` may read the table: the new files are staged and take the place of the old ones when all
+        are written, so a run that dies before leaves the table as it was.
+        """
+        # By partition, so that few files are written; a partition with very many rows is split.
+        dealt = df.select(*self.read(table).columns).hint("rebalance", *map(F.col, by))
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).parquet(location)
+        self.spark.catalog.recoverPartitions(self.name(table))
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def show(self, view: str, table: str, columns: Sequence[str]) -> None:
+        """Make ``view`` show some columns of a table."""
+        names = ", ".join(f"`{name}`" for name in columns)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(view)} AS SELECT {names} FROM {self.name(table)}"
+        )

@@ -10,6 +10,7 @@ from cartwright import schemas
 from cartwright.config import v1_rules, v2_rules
 from cartwright.operators import enrich, stage, validate
 from cartwright.operators.scd2 import HISTORIES
+from cartwright.plans import pipeline
 from cartwright.plans.catalog import plain
 from cartwright.plans.pipeline import Folders, Pipeline
 from cartwright.sinks.landing import land
@@ -203,3 +204,24 @@ def test_fact_columns_do_not_depend_on_sizes(spark, data, limit):
     assert names[:3] == ["order_id", "product_id", "customer_id"]
     assert names.index("first_name") < names.index("product_name") < names.index("reorder_level")
     assert names.index("reorder_level") < names.index("carrier")
+
+
+def test_load_stopped_before_archiving_leaves_one_copy_of_the_rejects(spark, data, tmp_path, database, monkeypatch):
+    run = setup(spark, data, tmp_path, database, sample_rules(v2_rules()))
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(pipeline, "archive_csv", stop)
+    for _ in range(2):
+        with pytest.raises(OSError, match="stopped"):
+            run.load("products")
+    monkeypatch.undo()
+    run.load("products")
+    errors = stage.error_rows(raw_view(spark, data, "products"), "products", run.rules)
+    assert bag(plain(run.tables.read("products_errors"))) == bag(plain(errors))
+    # Other files in the same batch add to them.
+    deliver(spark, data, run.folders["products"].source, "products")
+    run.load("products")
+    assert run.tables.read("products_errors").count() == 2 * errors.count()
+    assert run.tables.read("products_errors").columns == errors.columns
