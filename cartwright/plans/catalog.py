@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright import schemas
-from cartwright.config import RuleBook, v1_rules, v2_rules
+from cartwright.config import CSV_OPTIONS, RuleBook, v1_rules, v2_rules
 from cartwright.operators import enrich, quality, scd2, stage, summary, validate
 from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy
-from cartwright.sinks.process_log import log_rows
-from cartwright.sinks.shared import stored, stored_and_counted
-from cartwright.sources.sample import AS_OF, raw_view, raw_views, sample_rules
+from cartwright.sinks.hadoop import Files
+from cartwright.sinks.process_log import log_row, log_rows
+from cartwright.sinks.shared import shared_folder, stored, stored_and_counted
+from cartwright.sources.files import scan_csv
+from cartwright.sources.sample import AS_OF, deliver_csv, raw_view, raw_views, sample_rules
+from cartwright.streaming.ingest import EpochStore, ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +93,18 @@ def _valid(domain: str) -> Query:
     return lambda spark, d: plain(quality.accept(_stamped(spark, d, domain, V2), domain, V2))
 
 
+def _scanned(domain: str) -> Query:
+    """The domain's raw rows, written as CSV files with defects and scanned under its schema."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        folder = shared_folder(spark, f"{domain}_csv")
+        deliver_csv(spark, directory, domain, folder)
+        rows = scan_csv(spark, domain, folder, corrupt_column="corrupt_line")
+        return plain(rows.withColumn("is_corrupt", F.col("corrupt_line").isNotNull()).drop("corrupt_line"))
+
+    return query
+
+
 def _rejected(domain: str, rules: RuleBook) -> Query:
     return lambda spark, d: plain(stage.error_rows(raw_view(spark, d, domain), domain, rules))
 
@@ -104,6 +119,29 @@ def _staged(domain: str, rules: RuleBook) -> Query:
     return lambda spark, d: plain(stage.stage_rows(raw_view(spark, d, domain), domain, rules))
 
 
+def _streamed(spark: SparkSession, directory: str) -> DataFrame:
+    """The order stage from a file stream: two drops of files, each run to its end, and a replay.
+
+    The second epoch's commit is taken back, as if the run had died before it, so the stream loads
+    that epoch again. A last run finds no new files.
+    """
+    drops, checkpoint = shared_folder(spark, "drops"), shared_folder(spark, "stream")
+    store = EpochStore(spark, shared_folder(spark, "epochs"), "orders")
+    rows = raw_view(spark, directory, "orders")
+    early = F.coalesce(F.expr(FIRST_LOAD), F.lit(False))
+
+    def run() -> None:
+        ingest_available(store, drops, V2, checkpoint).awaitTermination()
+
+    for when in (early, ~early):
+        rows.filter(when).write.mode("append").options(**CSV_OPTIONS).csv(drops)
+        run()
+    Files(spark).remove(f"{checkpoint}/commits/1")
+    run()
+    run()
+    return plain(store.stage(V2).drop("epoch"))
+
+
 def _offenders(check: str, rules: RuleBook) -> Query:
     domains = validate.DOMAINS_OF[check]
     return lambda spark, d: plain(
@@ -135,6 +173,30 @@ def _validation_log(spark: SparkSession, directory: str) -> DataFrame:
     return plain(log_rows(counts, V2))
 
 
+def _v1_log(spark: SparkSession, directory: str) -> DataFrame:
+    """What the older steps log: no counts and no status of the validation, totals of the merge alone."""
+    fact, _ = sample_fact(spark, directory, V1)
+    orders = F.count("order_id")
+    counts = fact.agg(orders.alias("total_records"), orders.alias("valid_records")).withColumns(
+        {"task": F.lit("final_merge_operation"), "invalid_records": F.lit(None), "archived_files": F.lit(None)}
+    )
+    steps = [
+        log_row(spark, "data_validation", None, None, None, None, V1, status=None),
+        log_row(spark, "data_enrichment", None, None, None, None, V1, status="SUCCESS"),
+        log_rows(counts, V1, status="SUCCESS"),
+    ]
+    return plain(reduce(DataFrame.unionByName, steps))
+
+
+def _v1_appended_results(spark: SparkSession, directory: str) -> DataFrame:
+    """The older results table after two runs: each adds its rows to those of the runs before."""
+    folder = shared_folder(spark, "validation_results")
+    results = _results(spark, directory, V1)
+    for batch in (V1.batch(), "later"):
+        results.withColumn("batch_id", F.lit(batch)).write.mode("append").parquet(folder)
+    return plain(spark.read.schema(results.schema).parquet(folder))
+
+
 def _process_log(spark: SparkSession, directory: str) -> DataFrame:
     raw = raw_views(spark, directory)
     counts = [
@@ -260,11 +322,13 @@ def _summary(rules: RuleBook) -> Query:
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {}
     for domain in schemas.DOMAINS:
+        named[f"{domain}_csv"] = _scanned(domain)
         named[f"{domain}_valid"] = _valid(domain)
         named[f"{domain}_rejected"] = _rejected(domain, V2)
         named[f"{domain}_rejected_strict"] = _rejected(domain, V2_STRICT)
         named[f"dq_{domain}"] = _report(domain, V2)
         named[f"{domain}_stage"] = _staged(domain, V2)
+    named["orders_stream"] = _streamed
     named["process_log"] = _process_log
     named["row_counts"] = _row_counts
 
@@ -305,6 +369,8 @@ def queries() -> dict[str, Query]:
         named[f"v1_{domain}_rejected"] = _rejected(domain, V1)
     named["v1_bad_email_phone"] = _report("customers", V1)
     named["v1_customers_stage"] = _staged("customers", V1)
+    named["v1_process_log"] = _v1_log
+    named["v1_appended_results"] = _v1_appended_results
     named["v1_check_counts"] = _counts(V1)
     named["v1_validation_results"] = lambda spark, d: plain(_results(spark, d, V1))
     named["v1_validation_gate"] = _gate(V1)

@@ -57,6 +57,8 @@ def export(source: str, *replacements: list[str], where: str = "") -> str:
 
 PARTS: dict[str, str] = {f"raw_{domain}": sql.strip() for domain, sql in sample.SQL.items()}
 
+PARTS |= {f"text_{domain}": sample.text_sql(domain, f"raw_{domain}") for domain in sample.SQL}
+
 for _domain in sample.SQL:
     for _version, _system in (
         ("", _domain),
@@ -693,9 +695,46 @@ def row_counts() -> str:
     )
 
 
+def v1_log() -> str:
+    nothing = "CAST(NULL AS BIGINT)"
+    steps = [
+        ("data_validation", "CAST(NULL AS VARCHAR)", nothing, ""),
+        ("data_enrichment", "'SUCCESS'", nothing, ""),
+        ("final_merge_operation", "'SUCCESS'", "count(order_id)", "FROM v1_fact"),
+    ]
+    return "\nUNION ALL ".join(
+        f"""SELECT {nothing} AS archived_files, {nothing} AS invalid_records, {status} AS status,
+      '{task}' AS task, {LOG_TIME} AS timestamp, {total} AS total_records, {total} AS valid_records {source}"""
+        for task, status, total, source in steps
+    )
+
+
+def v1_appended() -> str:
+    return f"""SELECT r.* REPLACE (b.batch AS batch_id) FROM ({results("v1_")}) r
+      CROSS JOIN (SELECT unnest([{BATCH}, 'later']) AS batch) b"""
+
+
+def scanned(domain: str) -> str:
+    """What parsing the text of a domain's CSV files under its schema gives."""
+    kinds = sample.columns_of(domain)
+    last = list(kinds)[-1]
+    shown = {"DATE": "{}", "BOOLEAN": "{}", "INT": "CAST({} AS BIGINT)", "TIMESTAMP": "CAST({} AS VARCHAR)"}
+    items, broken = [], ["is_short", "is_long"]
+    for name, kind in kinds.items():
+        if kind == "STRING":
+            items.append(name)
+            continue
+        source = f"CASE WHEN NOT is_short THEN {name} END" if name == last else name
+        parsed = f"TRY_CAST({source} AS {kind})"
+        broken.append(f"({source} IS NOT NULL AND {parsed} IS NULL)")
+        items.append(f"{shown.get(kind, 'CAST({} AS DOUBLE)').format(parsed)} AS {name}")
+    return f"SELECT {', '.join(items)}, {' OR '.join(broken)} AS is_corrupt FROM text_{domain}"
+
+
 def _finals() -> dict[str, str]:
     q: dict[str, str] = {}
     for domain, valid in VALID.items():
+        q[f"{domain}_csv"] = scanned(domain)
         q[f"{domain}_valid"] = export(f"valid_{domain}", STAGE_EXPORT[domain])
         q[f"{domain}_rejected"] = errors(domain, f"NOT ({valid})")
         q[f"{domain}_rejected_strict"] = errors(domain, f"NOT coalesce({valid}, false)")
@@ -704,7 +743,10 @@ def _finals() -> dict[str, str]:
             f"{domain}_stage", STAGE_EXPORT[domain], STAGE_EXTRA.get(domain, [])
         )
         q[f"v1_{domain}_rejected"] = errors(domain, V1_REJECTED[domain], "v1_")
+    q["orders_stream"] = q["orders_stage"]
     q["process_log"] = process_log()
+    q["v1_process_log"] = v1_log()
+    q["v1_appended_results"] = v1_appended()
     q["row_counts"] = row_counts()
     for check in offender_sources():
         if check != "stock_mismatch":

@@ -9,15 +9,25 @@ from cartwright.config import CSV_OPTIONS
 
 
 def scan_csv(
-    spark: SparkSession, domain: str, path: str, strict_header: bool = False
+    spark: SparkSession,
+    domain: str,
+    path: str,
+    strict_header: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """All files of a directory under the domain's fixed schema.
 
     Columns bind by position and a value that does not parse becomes NULL. ``strict_header`` makes
-    a header that differs from the schema an error. The file list is taken now: files that arrive
-    later belong to the next run.
+    a header that differs from the schema an error. ``corrupt_column`` names a further column with the
+    whole line of every row that lost something: a value that did not parse, a missing or a surplus
+    field. The file list is taken now: files that arrive later belong to the next run.
     """
-    reader = spark.read.schema(schemas.RAW[domain]).options(**CSV_OPTIONS)
+    schema = schemas.RAW[domain]
+    reader = spark.read.options(**CSV_OPTIONS, mode="PERMISSIVE")
+    if corrupt_column is not None:
+        schema = f"{schema}, `{corrupt_column}` STRING"
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    reader = reader.schema(schema)
     if strict_header:
         reader = reader.option("enforceSchema", "false")
     return reader.csv(path)

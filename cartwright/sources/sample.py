@@ -7,11 +7,14 @@ range, keys without partner, several warehouses per product.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwright import schemas
 from cartwright.config import RuleBook
 
 # The clock of all sample queries.
@@ -118,6 +121,96 @@ INPUTS = {
 }
 
 
+# What is written in place of a value in the CSV files, by column and condition.
+CSV_DEFECTS: dict[str, list[tuple[str, str, str]]] = {
+    "orders": [
+        ("order_amount", "order_id LIKE '%17'", "n/a"),
+        ("order_amount", "order_id LIKE '%43'", "123456789.00"),
+        ("order_date", "order_id LIKE '%23'", "2001-02-30"),
+        ("created_timestamp", "order_id LIKE '%31'", "noon"),
+        ("shipping_address", "order_id LIKE '%71'", 'Flat "2", second floor'),
+    ],
+    "customers": [
+        ("date_of_birth", "customer_id LIKE '%17'", "unknown"),
+        ("registration_date", "customer_id LIKE '%31'", "2001-13-01"),
+        ("last_login", "customer_id LIKE '%23'", "never"),
+        ("address", "customer_id LIKE '%71'", 'The "Mill", 2'),
+    ],
+    "products": [
+        ("price", "product_id LIKE '%17'", "free"),
+        ("stock_quantity", "product_id LIKE '%23'", "dozens"),
+        ("discontinued", "product_id LIKE '%31'", "maybe"),
+        ("weight_kg", "product_id LIKE '%43'", "12kg"),
+        ("launch_date", "product_id LIKE '%47'", "soon"),
+        ("description", "product_id LIKE '%71'", 'so-called "steel", blue'),
+    ],
+    "inventory": [
+        ("stock_quantity", "inventory_id LIKE '%7-1'", "many"),
+        ("reorder_level", "inventory_id LIKE '%3-0'", "99999999999"),
+        ("last_audit", "inventory_id LIKE '%3-2'", "never"),
+        ("warehouse_name", "inventory_id LIKE '%5-1'", 'Dock "B", left'),
+    ],
+    "shipping": [
+        ("shipping_cost", "shipping_id LIKE '%17'", "$5"),
+        ("estimated_delivery", "shipping_id LIKE '%23'", "soon"),
+        ("package_weight", "shipping_id LIKE '%43'", "99999999.00"),
+        ("insurance_value", "shipping_id LIKE '%31'", "--"),
+        ("destination_address", "shipping_id LIKE '%71'", 'Flat "2", second floor'),
+    ],
+}
+# Lines that lack their last field, and lines with one more.
+CSV_SHORT = {
+    "orders": "order_id LIKE '%59'",
+    "customers": "customer_id LIKE '%59'",
+    "products": "product_id LIKE '%59'",
+    "inventory": "inventory_id LIKE '%9-3'",
+    "shipping": "shipping_id LIKE '%59'",
+}
+CSV_LONG = {
+    "orders": "order_id LIKE '%61'",
+    "customers": "customer_id LIKE '%61'",
+    "products": "product_id LIKE '%61'",
+    "inventory": "inventory_id LIKE '%1-4'",
+    "shipping": "shipping_id LIKE '%61'",
+}
+
+
+def columns_of(domain: str) -> dict[str, str]:
+    """Names and types of the domain's raw columns."""
+    return dict(re.findall(r"(\w+) ([A-Z]+(?:\(\d+,\d+\))?)", schemas.RAW[domain]))
+
+
+def text_sql(domain: str, source: str) -> str:
+    """The raw rows of ``source`` as text, defects planted, with whether a line is short or long."""
+    items = []
+    for name in columns_of(domain):
+        planted = "".join(
+            f"WHEN {condition} THEN '{text}' "
+            for column, condition, text in CSV_DEFECTS[domain]
+            if column == name
+        )
+        text = f"CAST({name} AS STRING)"
+        items.append(f"CASE {planted}ELSE {text} END AS {name}" if planted else f"{text} AS {name}")
+    short, long = CSV_SHORT[domain], CSV_LONG[domain]
+    return (
+        f"SELECT {', '.join(items)}, coalesce({short}, false) AS is_short,"
+        f" coalesce({long}, false) AS is_long FROM {source}"
+    )
+
+
+def deliver_csv(spark: SparkSession, directory: str, domain: str, folder: str) -> None:
+    """Write the raw view of a domain as CSV files with headers and defects of all kinds."""
+    raw_view(spark, directory, domain).createOrReplaceTempView(f"raw_{domain}")
+    rows = spark.sql(text_sql(domain, f"raw_{domain}"))
+    names = list(columns_of(domain))
+    whole, cut = F.to_csv(F.struct(*names)), F.to_csv(F.struct(*names[:-1]))
+    line = F.when(F.col("is_short"), cut).when(F.col("is_long"), F.concat(whole, F.lit(",surplus"))).otherwise(whole)
+    # A file is what one task writes; its first row is the one numbered zero.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    header = F.when(first, ",".join(names) + "\n").otherwise("")
+    rows.select(F.concat(header, line)).write.text(folder)
+
+
 def raw_views(
     spark: SparkSession, directory: str, domains: Iterable[str] = tuple(SQL)
 ) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ import decimal
 import pytest
 from cartwright import schemas
 from cartwright.sinks.archive import archive_csv
+from cartwright.sources import sample
 from cartwright.sources.files import scan_csv
 
 HEADER = (
@@ -95,3 +96,17 @@ def test_archive_refuses_to_overwrite(spark, tmp_path):
     with pytest.raises(FileExistsError):
         archive_csv(scan_csv(spark, "orders", str(source)), str(archive))
     assert (source / "a.csv").exists()
+
+
+def test_corrupt_lines_are_kept_whole(spark, tmp_path):
+    columns = list(sample.columns_of("orders"))
+    good = ["o1", "c1", "p1", "2001-01-02", "1.50", "USD", "card", '"a, \\"b\\""', "O", "2001-01-02 03:04:05"]
+    lines = [good, [*good[:3], "2001-02-30", *good[4:]], good[:-1], [*good, "more"]]
+    text = "\n".join([",".join(columns), *map(",".join, lines)]) + "\n"
+    (tmp_path / "a.csv").write_text(text)
+    rows = scan_csv(spark, "orders", str(tmp_path), corrupt_column="bad").collect()
+    assert [row.bad for row in rows] == [None, *(",".join(line) for line in lines[1:])]
+    assert [row.order_date is None for row in rows] == [False, True, False, False]
+    assert [row.created_timestamp is None for row in rows] == [False, False, True, False]
+    assert {row.shipping_address for row in rows} == {'a, "b"'}
+    assert "bad" not in scan_csv(spark, "orders", str(tmp_path)).columns
