@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections import OrderedDict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import broadcast_if_small, saved
+from cartwright.llm.common import broadcast_if_small, fresh_folder, opened, saved
 
 ORDER = 4
 #: Stands before a text, ORDER - 1 times.
 PAD = "\0" * (ORDER - 1)
-#: A model counted to have at most this many grams is broadcast; otherwise the texts' grams are joined
-#: with it. What comes out is the same.
-BROADCAST_GRAMS = 2_000_000
+#: Entries of a model's block, and bytes of blocks that a task holds at a time.
+BLOCK, HELD = 1 << 20, 256 << 20
+#: Characters of a stretch of text, by whose median a text is judged.
+STRETCH = 64
 #: Characters are numbered with 16 bits inside a task, so that ORDER of them fit into 64. A task that
 #: meets more than this many starts its numbers again.
 LETTERS = 1 << 16
@@ -164,11 +167,14 @@ def _discount(d: int) -> Column:
     return F.when(every, F.least(F.greatest(found, F.lit(0.05)), F.lit(d - 0.05))).otherwise(0.5)
 
 
-def estimate(counted: DataFrame) -> DataFrame:
-    """(language, gram, log2) of the saved counts: the interpolated probability of every gram met.
+def backoff_model(counted: DataFrame) -> DataFrame:
+    """(language, kind, gram, log2) of the saved counts.
 
-    The highest order has counts of occurrences, the lower ones of distinct preceding characters;
-    below them all characters of the language are equally likely.
+    Of kind 1 to ORDER are the grams of that many characters that were met, with their interpolated
+    probability; below zero the contexts of one to ORDER - 1 characters, with the weight that they leave to
+    shorter ones; of kind 0 the probability of a character that was not met. The highest order has counts of
+    occurrences, the lower ones of distinct preceding characters; below them all characters of the
+    language are equally likely.
     """
     parts = [counted.select(F.lit(ORDER).alias("k"), "language", "gram", "n")]
     for k in range(ORDER - 1, 0, -1):
@@ -191,10 +197,14 @@ def estimate(counted: DataFrame) -> DataFrame:
     )
     left = F.col("once") * F.col("d1") + F.col("twice") * F.col("d2") + F.col("often") * F.col("d3")
     contexts = contexts.join(discounts, ["k", "language"]).withColumn("weight", left / F.col("total"))
+    contexts = saved(contexts, "contexts")
     off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = levels.withColumn("context", context).join(contexts, ["k", "language", "context"])
     kept = ((F.col("n") - off) / F.col("total")).alias("kept")
     rows = saved(rows.select("k", "language", "gram", "types", "weight", kept), "kept")
+    # What an order leaves, by context; the first order's context is empty, and what it leaves goes to all alike.
+    alike = F.when(F.col("k") == 1, F.col("weight") / F.col("types")).otherwise(F.col("weight"))
+    model = contexts.select("language", (1 - F.col("k")).alias("kind"), F.col("context").alias("gram"), F.log2(alike).alias("log2"))
     lower = None
     for k in range(1, ORDER + 1):
         own = rows.filter(F.col("k") == k)
@@ -204,66 +214,148 @@ def estimate(counted: DataFrame) -> DataFrame:
             own = own.withColumn("suffix", F.substring("gram", 2, k - 1)).join(lower, ["language", "suffix"])
             below = F.col("p")
         p = F.col("kept") + F.col("weight") * below
-        lower = own.select("language", F.col("gram").alias("suffix"), p.alias("p"))
-    return saved(lower.select("language", F.col("suffix").alias("gram"), F.log2("p").alias("log2")), "model")
-
-
-def _collected(model: DataFrame) -> dict | None:
-    """The model as sorted arrays, if it was counted to be small and its characters have 16-bit numbers."""
-    if model.count() > BROADCAST_GRAMS:
-        return None
-    rows = model.toPandas()
-    points = code_points("".join(rows["gram"])).reshape(-1, ORDER)
-    letters = np.unique(points)
-    if len(letters) > LETTERS:
-        return None
-    ids = np.searchsorted(letters, points).astype(np.uint64)
-    keys = np.zeros(len(rows), dtype=np.uint64)
-    for k in range(ORDER):
-        keys = keys << np.uint64(16) | ids[:, k]
-    arrays = {}
-    for lang, at in rows.groupby("language").indices.items():
-        at = at[np.argsort(keys[at])]
-        arrays[lang] = keys[at], rows["log2"].to_numpy()[at]
-    return {"letters": letters, "arrays": arrays}
-
-
-def _bits(held: dict, lang: str, text: str) -> float:
-    if "ids" not in held:
-        held["ids"] = np.zeros(0x110000, dtype=np.uint16)
-        held["ids"][held["letters"]] = np.arange(len(held["letters"]))
-    keys, log2 = held["arrays"][lang]
-    found = np.searchsorted(keys, np.sort(windows(held["ids"][code_points(PAD + text)])))
-    return float(-log2[found].mean())
-
-
-def scorer(documents: DataFrame, model: DataFrame) -> tuple[Callable[[str, str], float] | None, DataFrame | None]:
-    """Mean bits per character of texts that the model was counted over: one of two ways.
-
-    A function of language key and text, where the model is small; otherwise a table
-    (language, text_key, bits), joined from the grams of every text.
-    """
-    held = _collected(model)
-    if held is not None:
-        shared = documents.sparkSession.sparkContext.broadcast(held)
-        return lambda lang, text: _bits(shared.value, lang, text), None
+        lower = saved(own.select("language", F.col("gram").alias("suffix"), p.alias("p")), "order")
+        model = model.unionAll(lower.select("language", F.lit(k).alias("kind"), "suffix", F.log2("p").alias("log2")))
+    return model
+
+
+def estimate(counted: DataFrame) -> DataFrame:
+    """(language, gram, log2) of the grams of ORDER characters in the saved counts."""
+    return backoff_model(counted).filter(F.col("kind") == ORDER).select("language", "gram", "log2")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, text in batch.itertuples(index=False):
-                if text:
-                    grams = pd.Series(text_grams(text)).value_counts()
-                    yield pd.DataFrame(
-                        {"language": lang, "text_key": text_key(text), "gram": grams.index, "n": grams.to_numpy()}
-                    )
-
-    asked = documents.select(language(F.col("lang")).alias("language"), "text").mapInPandas(
-        run, "language string, text_key binary, gram string, n long"
-    )
-    scored = asked.join(model, ["language", "gram"]).groupBy("language", "text_key")
-    # Rows equal in text and language add up alike above and below.
-    return None, scored.agg((-F.sum(F.col("n") * F.col("log2")) / F.sum("n")).alias("bits"))
 
+def hashed(columns: list[np.ndarray], kind: int, size: int) -> np.ndarray:
+    """64-bit hashes of ``size`` strings of one kind, given by their first, second, ... characters."""
+    mixer = np.uint64(0xD6E8FEB86659FD93)
+    found = np.full(size, (kind + ORDER) * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+    for column in columns:
+        found ^= column.astype(np.uint64)
+        found *= mixer
+        found ^= found >> np.uint64(32)
+    return found
 
-def text_key(text: str) -> bytes:
-    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for kind, rows in batch.groupby("kind"):
+            points = code_points("".join(rows["gram"])).reshape(len(rows), abs(kind))
+            found = hashed([points[:, k] for k in range(abs(kind))], kind, len(rows))
+            yield pd.DataFrame({"language": rows["language"], "hash": found.view(np.int64), "log2": rows["log2"]})
+
+
+def _packed(rows: pd.DataFrame) -> pd.DataFrame:
+    keys = rows["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    arrays = keys[order].tobytes(), rows["log2"].to_numpy()[order].tobytes()
+    return pd.DataFrame([(rows["block"].iat[0], *arrays)], columns=["block", "keys", "log2"])
+
+
+def write_arrays(model: DataFrame, block: int | None = None) -> str:
+    """Write a model as sorted arrays of hashes, in blocks of about ``block`` entries, and return the folder.
+
+    A block holds one language's hashes from a range, so that a lookup needs one block of one file. How many
+    blocks a language has is a small table beside them. Nothing passes the driver.
+    """
+    spark, folder = model.sparkSession, fresh_folder(model.sparkSession, "arrays")
+    model = saved(model, "model")
+    blocks = F.ceil(F.count("*") / (block or BLOCK)).alias("blocks")
+    model.groupBy("language").agg(blocks).write.parquet(f"{folder}/languages")
+    counted = spark.read.parquet(f"{folder}/languages")
+    rows = model.mapInPandas(_hashes, "language string, hash long, log2 double")
+    rows = rows.join(broadcast_if_small(counted), "language")
+    place = F.shiftright(F.shiftrightunsigned("hash", 32) * F.col("blocks"), 32)
+    named = rows.select(F.concat(F.md5("language"), F.lit("-"), place).alias("block"), "hash", "log2")
+    packed = named.groupBy("block").applyInPandas(_packed, "block string, keys binary, log2 binary")
+    packed.write.partitionBy("block").parquet(f"{folder}/blocks")
+    return folder
+
+
+def middle_stretch(bits: np.ndarray) -> float:
+    """The median, over stretches of about STRETCH characters, of their mean bits per character."""
+    stretches = max(1, len(bits) // STRETCH)
+    starts = np.arange(stretches) * len(bits) // stretches
+    means = np.add.reduceat(bits, starts) / np.diff(np.append(starts, len(bits)))
+    return float(np.median(means))
+
+
+class Arrays:
+    """A model's arrays, read block by block where they are needed."""
+
+    def __init__(self, folder: str, held: int):
+        self.folder, self.most = folder, held
+        self.blocks: dict[str, int] = {}
+        for file in opened(f"{folder}/languages"):
+            table = pq.read_table(file)
+            self.blocks |= zip(table["language"].to_pylist(), table["blocks"].to_pylist())
+        self.held: OrderedDict[str, tuple[np.ndarray, np.ndarray]] = OrderedDict()
+        self.size = 0
+
+    def _block(self, name: str) -> tuple[np.ndarray, np.ndarray]:
+        if name in self.held:
+            self.held.move_to_end(name)
+            return self.held[name]
+        keys = np.empty(0, np.uint64), np.empty(0)
+        # A range without a hash has no file.
+        for file in opened(f"{self.folder}/blocks/block={name}"):
+            row = pq.ParquetFile(file).read().to_pylist()[0]
+            keys = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["log2"])
+        self.held[name] = keys
+        self.size += 16 * len(keys[0])
+        while self.size > self.most and len(self.held) > 1:
+            _, (old, _) = self.held.popitem(last=False)
+            self.size -= 16 * len(old)
+        return keys
+
+    def find(self, language: str, hashes: np.ndarray) -> np.ndarray:
+        """The value of every hash, NaN where the model has none."""
+        out = np.full(len(hashes), np.nan)
+        n, high = np.uint64(self.blocks[language]), np.uint64(32)
+        place = ((hashes >> high) * n) >> high
+        name = hashlib.md5(language.encode()).hexdigest()
+        for block in np.unique(place):
+            keys, values = self._block(f"{name}-{block}")
+            if len(keys):
+                mine = np.flatnonzero(place == block)
+                at = np.minimum(np.searchsorted(keys, hashes[mine]), len(keys) - 1)
+                out[mine] = np.where(keys[at] == hashes[mine], values[at], np.nan)
+        return out
+
+    def log2(self, language: str, columns: list[np.ndarray]) -> np.ndarray:
+        """The probability of the last of ORDER characters after the others, for many such runs.
+
+        Where a run was not met, the weight that its context leaves and the shorter run's probability.
+        """
+        size = len(columns[0])
+        out = self.find(language, hashed(columns, ORDER, size))
+        left, weight = np.flatnonzero(np.isnan(out)), np.zeros(size)
+        for k in range(ORDER - 1, -1, -1):
+            if not len(left):
+                break
+            asked = [column[left] for column in columns]
+            if k:
+                found = self.find(language, hashed(asked[ORDER - 1 - k : ORDER - 1], -k, len(left)))
+                weight[left] += np.nan_to_num(found)
+            found = self.find(language, hashed(asked[ORDER - k :], k, len(left)))
+            out[left] = weight[left] + found
+            left = left[np.isnan(found)]
+        return out
+
+    def bits(self, language: str, texts: list[str | None]) -> list[float | None]:
+        """Bits per character of every text; None for an empty one, 0 if the model has no such language.
+
+        A token or a foreign passage in a good text doesn't decide: it's the text's middle stretch that counts.
+        """
+        if language not in self.blocks:
+            return [0.0 if text else None for text in texts]
+        out = []
+        for held in _portions(iter(texts), 500_000):
+            points = code_points("".join(PAD + text for text in held))
+            sizes = np.array([len(text) for text in held])
+            starts = np.cumsum(sizes) - sizes
+            ends = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(held) + 1) * len(PAD), sizes)
+            columns = [points[ends - k] for k in range(ORDER - 1, -1, -1)]
+            _, first, which = np.unique(hashed(columns, ORDER, len(ends)), return_index=True, return_inverse=True)
+            known = self.log2(language, [column[first] for column in columns])
+            out += [middle_stretch(-known[which[start : start + size]]) for start, size in zip(starts, sizes)]
+        scored = iter(out)
+        return [next(scored) if text else None for text in texts]

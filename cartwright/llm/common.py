@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def opened(folder: str) -> Iterator[pyarrow.NativeFile]:
+    """The data files of a saved folder, for tasks that read them themselves; none if it isn't there."""
+    if folder.startswith("file:/"):
+        folder = "file:///" + folder.removeprefix("file:").lstrip("/")
+    system, path = pyarrow.fs.FileSystem.from_uri(folder)
+    listed = system.get_file_info(pyarrow.fs.FileSelector(path, allow_not_found=True))
+    for info in sorted(listed, key=lambda info: info.path):
+        if info.is_file and not info.base_name.startswith(("_", ".")):
+            with system.open_input_file(info.path) as file:
+                yield file
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a saved frame has at most ``limit`` rows. Reads only file footers."""
     return df.count() <= limit

@@ -2,118 +2,30 @@
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.char_model import ORDER, count_grams, estimate, language, scorer, text_key
+from cartwright.llm import char_model
+from cartwright.llm.char_model import Arrays, backoff_model, count_grams, language, write_arrays
 from cartwright.llm.common import broadcast_if_small, saved
-from cartwright.llm.text_measures import BASE, base_measures, measured
-
-#: The dense model below, over this many classes of characters, is what the tests compare with;
-#: documents are judged by the one in ``char_model``.
-CLASSES = 40
-
-
-def _class_table() -> np.ndarray:
-    """The class of every code point; class 0 stands before the text."""
-    point = np.arange(0x110000)
-    table = (35 + point % 5).astype(np.uint8)
-    table[:128] = 33
-    table[[9, 11, 12, 13, 32]] = 1
-    table[10] = 2
-    table[48:58] = 3
-    table[97:123] = 4 + np.arange(26)
-    table[65:91] = 30
-    for at, marks in ((31, ".!?"), (32, ",;:"), (34, "#*$%&|<>")):
-        table[[ord(c) for c in marks]] = at
-    return table
-
-
-_TABLE: list[np.ndarray] = []
-
-
-def grams(text: str) -> np.ndarray:
-    """The numbered runs of ORDER characters, one ending at every character of the text."""
-    if not _TABLE:
-        _TABLE.append(_class_table())
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    codes = np.zeros(len(points) + ORDER - 1, dtype=np.int32)
-    codes[ORDER - 1 :] = _TABLE[0][points]
-    number = codes[: len(points)].copy()
-    for k in range(1, ORDER):
-        number *= CLASSES
-        number += codes[k : k + len(points)]
-    return number
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What modified Kneser-Ney takes off a count of 1, 2, and 3 or more, from counts of counts."""
-    n = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(float)
-    if n.min() == 0:
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    found = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
-    return np.array([0.0, *(min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1))])
-
-
-def _level(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of one order: what every seen gram keeps, and the weight each context leaves to lower orders."""
-    context = keys // CLASSES
-    discount = _discounts(counts)[np.minimum(counts, 3)]
-    total = np.bincount(context, weights=counts, minlength=size)
-    left = np.bincount(context, weights=discount, minlength=size)
-    weight = np.divide(left, total, out=np.ones(size), where=total > 0)
-    return (counts - discount) / total[context], weight
-
-
-def fit(levels: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
-    """The model of one language, from sorted grams and counts of order 1, 2 and so on.
-
-    The highest order has counts of occurrences, the lower ones of distinct preceding characters.
-    Returns sorted arrays: ``keys`` and ``log2`` of the highest order, and for what it hasn't seen the
-    interpolated ``lower`` probabilities and each context's ``backoff``.
-    """
-    lower = np.full(1, 1.0 / CLASSES)
-    for order, (keys, counts) in enumerate(levels, 1):
-        kept, weight = _level(keys, counts, CLASSES ** (order - 1))
-        suffix = keys % CLASSES ** (order - 1)
-        if order == len(levels):
-            seen = kept + weight[keys // CLASSES] * lower[suffix]
-            return {"keys": keys, "log2": np.log2(seen), "lower": lower, "backoff": weight}
-        everything = np.arange(CLASSES**order)
-        full = weight[everything // CLASSES] * lower[everything % len(lower)]
-        full[keys] += kept
-        lower = full
-    raise ValueError("a model needs an order")
-
-
-def bits(model: dict[str, np.ndarray], numbers: np.ndarray) -> float:
-    """Mean bits per character of a text's grams."""
-    keys = model["keys"]
-    if "table" not in model:
-        size = len(model["lower"]) * CLASSES
-        unseen = np.repeat(model["backoff"], CLASSES) * np.tile(model["lower"], size // len(model["lower"]))
-        table = np.log2(np.maximum(unseen, 1e-12))
-        table[keys] = model["log2"]
-        model["table"] = table.astype(np.float32)
-    table = model["table"]
-    return float(-table[numbers % len(table)].mean(dtype=np.float64))
-
+from cartwright.llm.text_measures import BASE, base_measures
 
 def rate(
     documents: DataFrame,
     min_words: int = 20,
     most_repeated: int = 30,
-    below: float = 7.0,
-    above: float = 7.0,
+    below: float = 6.0,
+    above: float = 6.0,
 ) -> DataFrame:
     """Base measures of every document and whether it is kept.
 
     A text fails the base rules with fewer than ``min_words`` words or with more than
     ``most_repeated`` percent of its words in repeated windows of eight. The others are judged by a
-    modified Kneser-Ney model over four characters (code points), counted over all texts of their
-    language, by its value: bits per character more than ``below`` or ``above`` times the median
+    modified Kneser-Ney model over four characters (code points), counted over the texts of their
+    language, by its value: bits per character (the median over stretches of about 64 characters) more than ``below`` or ``above`` times the median
     absolute deviation away from the language's median, on the lower or upper side, reject a document;
     both limits are the same. Short texts scatter more, so their bands are wider by
     sqrt(1 + 400 / characters). The deviation counts as 0.02 bits at least.
@@ -122,27 +34,42 @@ def rate(
     per input row. NULL and empty texts have no words and fail; a NULL language is a language; an
     empty table gives no rows; other columns don't matter.
 
-    Counts, discounts and probabilities are Spark tables at every size, of one order. A model counted
-    to be small is broadcast; otherwise the grams of the texts are joined with it. Medians are sketches.
-    """
-    model = estimate(saved(count_grams(documents), "grams"))
-    score, scored = scorer(documents, model)
+    No text is judged by a model that it was counted in: the texts fall into two halves by a hash, and
+    each half is judged by the model of the other, so that equal texts don't speak for each other either. A
+    language that has texts in one half alone isn't judged; its texts have 0 bits.
 
-    def measure(lang: str, text: str | None) -> tuple:
-        found = (text_key(text) if score is None else score(lang, text)) if text else None
-        return (*base_measures(text), lang, len(text or ""), found)
-
-    found = "bits double" if score else "text_key binary"
-    schema = ", ".join(f"{name} long" for name in BASE) + f", language string, chars long, {found}"
-    rated = measured(
-        documents.withColumn("lang", language(F.col("lang"))),
-        ["lang", "text"],
-        measure,
-        schema,
-        [*BASE, "language", "chars", found.split()[0]],
+    Counts, discounts and probabilities are Spark tables at every size, of one order. The models are
+    written as sorted arrays of 64-bit hashes, in blocks, which tasks read as they need them, holding a
+    bounded number. Medians are sketches.
+    """
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    of_half = lambda h: F.concat(h.cast("string"), language(F.col("lang")))
+    counted = count_grams(documents.select("text", of_half(half).alias("lang")))
+    folder = write_arrays(backoff_model(saved(counted, "grams")))
+    held = char_model.HELD
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        arrays = Arrays(folder, held)
+        for batch in batches:
+            bits: dict[int, float | None] = {}
+            for model, rows in batch.groupby("model"):
+                bits |= zip(rows.index, arrays.bits(model, rows["text"].tolist()))
+            rows = [
+                (None if row.id is None else int(row.id), *base_measures(row.text), row.language, len(row.text or ""), bits[row.Index])
+                for row in batch.itertuples()
+            ]
+            out = pd.DataFrame(rows, columns=["doc_id", *BASE, "language", "chars", "bits"])
+            yield out.astype({"doc_id": "Int64", "bits": "Float64"})
+
+    asked = documents.select(
+        # As text, so that a batch with NULLs keeps large ids exact.
+        F.col("doc_id").cast("string").alias("id"),
+        "text",
+        language(F.col("lang")).alias("language"),
+        language(of_half(1 - half)).alias("model"),
     )
-    if scored is not None:
-        rated = rated.join(scored, ["language", "text_key"], "left")
+    names = ", ".join(f"{name} long" for name in BASE)
+    rated = asked.mapInPandas(measure, f"doc_id long, {names}, language string, chars long, bits double")
     rated = saved(
         rated.withColumn(
             "base_failed",

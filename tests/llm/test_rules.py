@@ -142,20 +142,6 @@ def test_base_measures():
     assert text_measures.base_measures(None) == (0, 0, 0, 0, 0)
 
 
-def test_kneser_ney_probabilities_add_up():
-    rng = np.random.default_rng(5)
-    numbers = np.concatenate([quality_rules.grams("".join(rng.choice(list("abcd e."), 500)))])
-    size = quality_rules.CLASSES
-    levels = [np.unique(numbers, return_counts=True)]
-    for k in range(3, 0, -1):
-        levels.insert(0, np.unique(levels[0][0] % size**k, return_counts=True))
-    model = quality_rules.fit(levels)
-    quality_rules.bits(model, numbers)
-    table = 2.0 ** model["table"].astype(float)
-    contexts = np.unique(numbers // size)
-    assert np.allclose(table.reshape(-1, size)[contexts].sum(axis=1), 1, atol=1e-3)
-
-
 def test_gibberish_is_rejected(make_docs, odd):
     rng = random.Random(6)
     syllables = ["the", "an", "ti", "on", "er", "re"]
