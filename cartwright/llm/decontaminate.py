@@ -143,7 +143,10 @@ def contaminated(
 def decontaminate(
     documents: DataFrame, benchmark: DataFrame, threshold: float = 0.8
 ) -> DataFrame:
-    """The documents that contain no benchmark item; a NULL id is kept unless such a row contains one."""
+    """The documents that contain no benchmark item; a NULL id is kept unless such a row contains one.
+
+    All columns stay, whatever their names.
+    """
     found = saved(contaminated(documents, benchmark, threshold).select("doc_id").distinct(), "leaks")
     named = broadcast_if_small(found.withColumnRenamed("doc_id", "leaking"))
-    return documents.join(named, F.col("doc_id").eqNullSafe(F.col("leaking")), "left_anti")
+    return documents.join(named, documents["doc_id"].eqNullSafe(named["leaking"]), "left_anti")

@@ -145,11 +145,11 @@ def _fraction(text):
 def emit(documents: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents of the mix, one row per copy, with ``copy`` counting from 1.
 
-    Rows of ``documents`` are matched by doc_id, which must be unique and not NULL here.
+    Rows of ``documents`` are matched by doc_id, which must be unique and not NULL here. Other columns
+    may have any names; one named ``copy`` is replaced.
     """
     wanted = mixed.filter("copies > 0").select("doc_id", "copies")
-    return (
-        documents.join(wanted, "doc_id")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .drop("copies")
-    )
+    rows = documents.select("doc_id", F.struct("*").alias("row")).join(wanted, "doc_id")
+    numbers = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    kept = [F.col(f"row.`{name}`") for name in documents.columns if name != "copy"]
+    return rows.select(*kept, numbers)
