@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 from cartwright.config import RuleBook
 
 
+# The totals of the summary in the table's order, as name, aggregate and input.
+TOTALS = (
+    ("total_orders", F.count, "order_id"),
+    ("total_revenue", F.sum, "order_amount"),
+    ("avg_order_value", F.avg, "order_amount"),
+    ("unique_customers", F.countDistinct, "customer_id"),
+    ("unique_products", F.countDistinct, "product_id"),
+    ("total_profit", F.sum, "order_profit_margin"),
+    ("avg_estimated_clv", F.avg, "estimated_clv"),
+)
+# Ratios of totals, as name, dividend and divisor; the first is named by the rules.
+RATIOS = (
+    (None, "total_profit", "total_revenue"),
+    ("revenue_per_customer", "total_revenue", "unique_customers"),
+    ("orders_per_customer", "total_orders", "unique_customers"),
+)
+
+
 def analytics_summary(enriched: DataFrame, rules: RuleBook) -> DataFrame:
-    """One row over the order fact; a ratio with a zero divisor is NULL."""
-    totals = enriched.agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum("order_amount").alias("total_revenue"),
-        F.avg("order_amount").alias("avg_order_value"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.sum("order_profit_margin").alias("total_profit"),
-        F.avg("estimated_clv").alias("avg_estimated_clv"),
-    )
-    return totals.withColumns(
-        {
-            rules.profit_ratio_name: F.try_divide("total_profit", "total_revenue") * 100,
-            "revenue_per_customer": F.try_divide("total_revenue", "unique_customers"),
-            "orders_per_customer": F.try_divide("total_orders", "unique_customers"),
-            "report_date": rules.today(),
-            "report_timestamp": rules.clock(),
-        }
-    )
+    """One row over the order fact; a ratio with a zero divisor is NULL, the profit's is a percentage."""
+    totals = enriched.agg(*(aggregate(column).alias(name) for name, aggregate, column in TOTALS))
+    ratios = {name or rules.profit_ratio_name: F.try_divide(above, below) for name, above, below in RATIOS}
+    ratios[rules.profit_ratio_name] *= 100
+    stamps = {"report_date": rules.today(), "report_timestamp": rules.clock()}
+    return totals.withColumns({**ratios, **stamps})
 
 
 def _report(
