@@ -70,7 +70,9 @@ class Pipeline:
         root: str,
         rules: RuleBook,
         policy: SkewPolicy = DEFAULT_SKEW,
+        history_buckets: int = 16,
     ) -> None:
+        self.history_buckets = history_buckets
         self.spark: SparkSession = tables.spark
         self.tables = tables
         self.folders = folders
@@ -79,7 +81,7 @@ class Pipeline:
         self.policy = policy
 
     def history(self, table: str) -> HistoryTable:
-        return HistoryTable(self.tables, table, f"{self.root}/history/{table}")
+        return HistoryTable(self.tables, table, f"{self.root}/history/{table}", self.history_buckets)
 
     def log(
         self,

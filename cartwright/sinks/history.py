@@ -30,13 +30,14 @@ CLOSED_ON = "expiry_date"
 class HistoryTable:
     """The history ``table`` of a store, with its files in ``location``.
 
-    The number of buckets is fixed with the first batch. It bounds what a merge lists on the driver.
+    The number of buckets must stay what it was for the first batch. It bounds what a merge lists on the
+    driver; a large history wants so many that a bucket's current rows are a few gigabytes.
     """
 
     tables: TableStore
     table: str
     location: str
-    buckets: int = 64
+    buckets: int = 16
 
     def exists(self) -> bool:
         return self.tables.exists(self.table)
