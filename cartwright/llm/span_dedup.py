@@ -11,39 +11,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import same_keys, saved
+from cartwright.llm.common import join_counted, saved, with_lists
 
 #: What identifies a row: its id and a hash of its text. Rows equal in both count as one document.
 KEY = ["doc_id", "text_hash"]
 
-#: A sentence with more words is cut after words that a hash chooses, one in PIECE.
-LONG_SENTENCE = 16
-PIECE = 8
-
 _SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=[\s]|$)\s*|[^\n]+\n?\s*|\s+")
-_WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
     """Cut a text into sentences, which joined give the text again.
 
-    A sentence ends with ``.``, ``!`` or ``?`` before whitespace, or with its line. Where the words
-    of a long one are cut depends on each word alone, so a passage is cut alike wherever it stands.
+    A sentence ends with ``.``, ``!`` or ``?`` before whitespace, or with its line.
     """
-    found = []
-    for sentence in _SENTENCE.findall(text):
-        if len(sentence) <= 2 * LONG_SENTENCE or len(words := _WORD.findall(sentence)) <= LONG_SENTENCE:
-            found.append(sentence)
-            continue
-        piece = sentence[: len(sentence) - sum(map(len, words))]
-        for word in words:
-            piece += word
-            if xxhash.xxh3_64_intdigest(word.rstrip()) % PIECE == 0:
-                found.append(piece)
-                piece = ""
-        if piece:
-            found.append(piece)
-    return found
+    return _SENTENCE.findall(text)
 
 
 def spans(parts: list[str], min_sentences: int, min_words: int) -> Iterator[tuple[int, int, bytes]]:
@@ -128,25 +109,28 @@ def remove_repeated_spans(
     """Remove every sentence covered by a span of sentences that stands earlier in the collection.
 
     From every sentence on, and up to every sentence, the shortest run of at least ``min_sentences``
-    sentences and ``min_words`` words is a span; a text too short for one is a span as a whole. Of equal spans the first one of the document with the smallest doc_id (NULL last)
-    stays; the sentences of all others go, also within one document. Spans are equal if their sentences
-    are, up to whitespace, by a 96-bit hash.
-
-    A text that is NULL or blank stays as it is. Rows that share
-    an id don't take spans from one another. Returns all columns of ``documents`` with ``text``
-    replaced, and one struct ``span_dedup`` (n_sentences, n_removed, n_spans: maximal removed runs);
-    other columns may have any names but that. An empty table stays empty.
-
-    Texts are cut once and their spans saved, as hashes. Spans are counted with partial sums before they shuffle. The join that finds the repeats has one
-    row for a span on one side, so a frequent span can be split. A document's repeats, no more than
-    its sentences, come together in one row.
+    sentences and ``min_words`` words is a span; these cover what all runs of so many sentences and words
+    would. A text too short for one is a span as a whole. Of equal spans the first one of the document with
+    the smallest doc_id (NULL last) stays; the sentences of all others go, also within one document. Spans
+    are equal if their sentences are, up to whitespace, by a 96-bit hash.
+
+    A text that is NULL or blank stays as it is; one of any length is cut whole. Rows that share an id don't
+    take spans from one another; rows equal in id and text count as one document, by a 64-bit hash of the text.
+    Returns all columns of ``documents`` with ``text`` replaced, and one struct ``span_dedup`` (n_sentences,
+    n_removed, n_spans: maximal removed runs); other columns may have any names but that. An empty table stays
+    empty.
+
+    Texts are cut once and their spans saved, as hashes. Spans are counted with partial sums before they
+    shuffle. The join that finds the repeats broadcasts the most frequent spans, so none of them lands in one
+    task. A document's repeats, no more than its sentences, come together in one row, and documents without any
+    aren't shuffled while those with some are few.
     """
-    text_hash = F.hash("text")
+    text_hash = F.xxhash64("text")
     keyed = documents.select("doc_id", text_hash.alias("text_hash"), "text")
     found = saved(
         keyed.mapInPandas(
             _list_spans(min_sentences, min_words),
-            "high long, low int, doc_id long, text_hash int, start int, length int, again boolean",
+            "high long, low int, doc_id long, text_hash long, start int, length int, again boolean",
         ),
         "all-spans",
     )
@@ -154,14 +138,14 @@ def remove_repeated_spans(
         found.groupBy("high", "low")
         .agg(F.min("doc_id").alias("earliest"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("high", "low", "earliest")
     )
-    later = found.join(repeated, ["high", "low"]).filter("again OR NOT doc_id <=> earliest")
+    repeated = saved(repeated, "repeated-spans")
+    later = join_counted(found, repeated, ["high", "low"]).filter("again OR NOT doc_id <=> earliest")
     repeats = saved(
         later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "length")).alias("spans")), "spans"
     )
     rows = documents.select(F.struct("*").alias("row"), "doc_id", text_hash.alias("text_hash"))
-    matched = rows.join(repeats, same_keys(rows, repeats, KEY), "left")
+    matched = with_lists(rows, repeats, KEY, "spans")
     without = F.pandas_udf(
         _without, "text string, n_sentences long, n_removed long, n_spans long"
     )
