@@ -16,6 +16,11 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwright.llm.common import join_counted, saved
+
+#: Tasks that read records; with more blocks each takes several.
+MOST_TASKS = 50_000
+
 ARCHIVE, INDEX = b"archive/data.warc.gz", b"indexes/index.cdxj"
 
 # A gzip header with a comment of one newline, without that newline and its zero byte.
@@ -134,14 +139,15 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
 
     The bytes go through Spark's text writer, line by line, so they reach any file system that
     Spark writes to, and a task that is run again commits its package once. Payloads are compared by
-    SHA-1. The largest ids are aggregated before they shuffle, and the join that brings them to the
-    pages has one row for a payload on one side.
+    SHA-1. The largest ids are aggregated before they shuffle. Where the repeated payloads are few, no page
+    is shuffled; beyond that the pages of the most frequent payloads aren't, so none fills one task.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     hashed = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
     least = F.length("payload") >= min_bytes
-    latest = hashed.filter(least).groupBy("sha1").agg(F.max("page_id").alias("latest"))
-    joined = hashed.join(latest, "sha1", "left")
+    latest = hashed.filter(least).groupBy("sha1").agg(F.max("page_id").alias("latest"), F.count("*").alias("n"))
+    latest = saved(latest.filter("n > 1"), "payloads")
+    joined = join_counted(hashed, latest, ["sha1"], "left")
     refers = F.when(~F.col("latest").eqNullSafe(F.col("page_id")), F.col("latest"))
     rows = joined.select("page_id", "url", "payload", "sha1", refers.alias("refers_to"))
 
@@ -296,14 +302,18 @@ def read_archives(spark: SparkSession, folder: str, block_bytes: int = 16 << 20)
     """Read every record of the ZIP packages in ``folder`` by its range, without extracting anything.
 
     Each package's directory and index are read first; then records are dealt out in runs of about
-    ``block_bytes`` of a package, and each is fetched by its offset and length. Returns page_id,
+    ``block_bytes`` of a package, and each is fetched by its offset and length. There are as many tasks as
+    the archives have blocks, MOST_TASKS at most. Returns page_id,
     payload_bytes, payload_digest, record_type, refers_to, url. Files of no bytes hold nothing. The
     folder must be on a file system that pyarrow opens on the executors.
     """
     packages = spark.read.format("binaryFile").load(folder).select("path", "length").filter("length > 0")
-    listed = packages.repartition("path").mapInPandas(_list_records, "path string, offset long, length long")
+    total = packages.agg(F.sum("length")).first()[0] or 0
+    # Numbers, as the rows are too narrow for adaptive execution to see what they stand for.
+    tasks = min(MOST_TASKS, max(1, -(-total // block_bytes)))
+    listed = packages.repartition(tasks, "path").mapInPandas(_list_records, "path string, offset long, length long")
     block = F.floor(F.col("offset") / block_bytes)
-    dealt = listed.repartition("path", block).sortWithinPartitions("path", "offset")
+    dealt = listed.repartition(tasks, "path", block).sortWithinPartitions("path", "offset")
     return dealt.mapInPandas(
         _read_records,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import math
 import random
 import zipfile
@@ -12,6 +14,7 @@ import numpy as np
 import pytest
 
 from cartwright.llm import (
+    common,
     components,
     decontaminate,
     mixing,
@@ -179,6 +182,10 @@ def test_archives_round_trip(spark, make_pages, tmp_path):
     pages = [(i, f"http://a/{i}", f"<p>{i % 7}é</p>\r\n\r\n" * (i % 5)) for i in range(60)]
     pages += [(None, None, None), (61, "http://a/\r\nX: y", None), (62, "u", "x" * 3_000_000), (63, "u", "\n"), (63, "u", "\n")]
     found = warc.round_trip(make_pages(pages).repartition(3), str(tmp_path / "a")).collect()
+    for r in found:
+        html = next(html for page_id, _, html in pages if page_id == r.page_id)
+        digest = base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+        assert r.payload_digest == digest
     latest = {}
     for page_id, _, html in pages:
         latest[html or ""] = max(latest.get(html or "", -1), -1 if page_id is None else page_id)
@@ -203,6 +210,20 @@ def test_archives_round_trip(spark, make_pages, tmp_path):
     assert warc.round_trip(make_pages([]), str(tmp_path / "b")).count() == 0
 
 
+def test_tasks_follow_the_bytes_of_the_archives(spark, make_pages, tmp_path, monkeypatch):
+    pages = [(i, "u", f"{random.Random(i).random()}" * 20 if i % 3 else None) for i in range(300)]
+    found = []
+    for limit in (400_000, 0):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+        folder = str(tmp_path / str(limit))
+        warc.write_archives(make_pages(pages), folder)
+        size = sum(f.stat().st_size for f in Path(folder).glob("part-*"))
+        read = warc.read_archives(spark, folder, block_bytes=4000)
+        assert read.rdd.getNumPartitions() == -(-size // 4000) > 5
+        found.append(sorted(map(str, read.collect())))
+    assert found[0] == found[1] and len(found[0]) == 300
+
+
 def test_other_zip_files_are_read(tmp_path):
     path = tmp_path / "plain.zip"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as package:
