@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import broadcast_if_small, saved, word_count
+from cartwright.llm.common import broadcast_if_small, join_counted, saved, word_count
 
 #: Expected copies are whole multiples of 1/SCALE, so that prefix sums are exact in integers.
 SCALE = 2**24
@@ -104,7 +104,11 @@ def mix(
                 "mark": hashed,
             }
         )
-        .join(counted.select("s", "no_s", "size", "chunks"), ["s", "no_s", "size"])
+    )
+    same_size = ["s", "no_s", "size"]
+    placed = (
+        join_counted(placed, counted.select(*same_size, "chunks", "n"), same_size)
+        .drop("n")
         .withColumn("chunk", F.floor(_fraction_of(F.col("mark")) * F.col("chunks") / SCALE))
     )
     chunk = ["s", "no_s", "size", "chunk"]
