@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from cartwright.llm import line_dedup, span_dedup
+from cartwright.llm import common, line_dedup, span_dedup
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -68,6 +69,58 @@ def test_both_edges_of_a_passage_go(make_docs):
         assert gone or cleaned[doc_id].text == text
 
 
+def brute_sentences(rows, min_sentences=2, min_words=10):
+    """Texts left when every sentence of a run that stands earlier, of any allowed length, goes."""
+    firsts, out = set(), {}
+    for doc_id, text in sorted(rows):
+        parts = span_dedup.sentences(text)
+        words = [part.split() for part in parts]
+        gone, runs = set(), []
+        for a in range(len(parts)):
+            for b in range(a + min_sentences, len(parts) + 1):
+                if sum(map(len, words[a:b])) >= min_words:
+                    runs.append((a, b))
+        for a, b in runs or [(0, len(parts))]:
+            key = tuple(map(tuple, words[a:b]))
+            if not runs:
+                key = ("whole", *filter(None, key))
+            if key in firsts:
+                gone |= set(range(a, b))
+            firsts.add(key)
+        out[doc_id] = "".join(part for i, part in enumerate(parts) if i not in gone)
+    return out
+
+
+@pytest.mark.parametrize("limit", [400_000, 20, 0])
+def test_sentences_of_repeated_runs_go(make_docs, monkeypatch, limit):
+    """With all ways to join: by broadcast, in part, and by shuffle."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+    rng = random.Random(4)
+    pool = [sentence(rng, rng.choice([1, 2, 4, 8, 30])) for _ in range(60)]
+    passages = [" ".join(rng.choices(pool, k=rng.randrange(2, 9))) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        parts = [sentence(rng, rng.choice([1, 3, 9, 25])) for _ in range(rng.randrange(1, 7))]
+        for _ in range(rng.randrange(3)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(passages))
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+    rows += [(100 + i, passages[0]) for i in range(30)] + [(200, "Short."), (201, "Short.")]
+    cleaned = span_dedup.remove_repeated_spans(make_docs(rows)).collect()
+    assert {r.doc_id: r.text for r in cleaned} == brute_sentences(rows)
+
+
+def test_frequent_keys_join_like_others(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, i % 3 if i % 2 else i) for i in range(4000)], "a int, key int")
+    counted = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").cache()
+    for how in ("inner", "left"):
+        found = []
+        for limit in (400_000, 0):
+            monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+            joined = common.join_counted(rows, counted, ["key"], how)
+            found.append(sorted((r.a, r.key, r.n or 0) for r in joined.collect()))
+        assert found[0] == found[1]
+
+
 @pytest.mark.parametrize("sizes", [(15, 3, 2), (4, 4), (20,), (1, 1, 1, 30, 1)])
 def test_spans_cover_the_text(sizes):
     rng = random.Random(3)
