@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import BROADCAST_ROWS, only, same_keys, saved
+from cartwright.llm.common import BROADCAST_ROWS, join_counted, only, same_keys, saved
 
 #: What identifies a row: its id and a hash of its text. Rows equal in both count as one document.
 KEY = ["doc_id", "text_hash"]
 #: Where the first of equal runs stands.
 FIRST = ["first_id", "first_hash", "first_line"]
 CUT = (
-    "doc_id long, text_hash int, line int, size int, first_id long, first_hash int, first_line int, "
+    "doc_id long, text_hash long, line int, size int, first_id long, first_hash long, first_line int, "
     "is_first boolean, bytes binary"
 )
 
@@ -112,21 +112,22 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
     found by a 128-bit hash. Consecutive ones whose firsts are consecutive, too, are one run, whose
     bytes are then compared with those of the first.
     """
-    listed = documents.mapInPandas(
-        _list_pairs, "doc_id long, text_hash int, line int, digest binary"
+    listed = saved(
+        documents.mapInPandas(_list_pairs, "doc_id long, text_hash long, line int, digest binary"), "pairs"
     )
     firsts = (
         listed.groupBy("digest")
         .agg(F.min(F.struct(*KEY, "line")).alias("earliest"), F.count("*").alias("n"))
         .filter("n > 1")
     )
+    firsts = saved(firsts, "firsts")
     ahead = F.col("line") - F.col("earliest.line")
     own = F.col("doc_id").eqNullSafe(F.col("earliest.doc_id")) & (
         F.col("text_hash") == F.col("earliest.text_hash")
     )
     # A pair that shares a line with its first, or is the first, doesn't stand earlier.
     found = (
-        listed.join(firsts, "digest")
+        join_counted(listed, firsts, ["digest"])
         .filter(~own | (ahead > 1))
         .select(
             *KEY,
@@ -189,11 +190,12 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     (n_lines, n_removed); other columns may have any names but that. An empty table stays empty.
 
     The table of pairs holds hashes, not text, and is combined before it shuffles; only repeated runs
-    are cut out and compared byte by byte, and a join on a frequent pair has one row on one side. Where
+    are cut out and compared byte by byte, and the join broadcasts the most frequent pairs, so none of them
+    fills one task. Rows are told apart by doc_id and a 64-bit hash of the text. Where
     repeats stand is counted and, if few, broadcast, so that no text is shuffled; beyond that the same
     joins shuffle the texts.
     """
-    text_hash = F.hash("text")
+    text_hash = F.xxhash64("text")
     keyed = documents.select("doc_id", text_hash.alias("text_hash"), "text")
     repeats = saved(repeated_runs(keyed), "repeats")
     rows = documents.select(F.struct("*").alias("row"), "doc_id", text_hash.alias("text_hash"))
