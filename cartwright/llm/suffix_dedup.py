@@ -17,11 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import broadcast_if_small, only, same_keys, saved
+from cartwright.llm.common import broadcast_if_small, join_counted, only, same_keys, saved
 
 #: What identifies a row: its id and a hash of its text. Rows equal in both count as one document.
 KEY = ["doc_id", "text_hash"]
-_ID = "doc_id long, text_hash int"
+_ID = "doc_id long, text_hash long"
 
 #: Bytes of the strings that choose a suffix's shard.
 ANCHOR = 24
@@ -232,13 +232,10 @@ def _hash_strings(length: int):
 def repeated_strings(documents: DataFrame, length: int) -> DataFrame:
     """(doc_id, text_hash, first, last): starts of strings that stand earlier, in ``documents`` (KEY, data)."""
     anchors = documents.mapInPandas(_list_anchors(length), f"anchor long, first int, {_ID}")
-    often = (
-        anchors.groupBy("anchor")
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("anchor", (F.col("n") > HOT).alias("hot"))
-    )
-    listed = anchors.join(often, "anchor").groupBy(*KEY).agg(
+    anchors = saved(anchors, "anchors")
+    often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    often = saved(often.withColumn("hot", F.col("n") > HOT), "often")
+    listed = join_counted(anchors, often, ["anchor"]).groupBy(*KEY).agg(
         F.collect_list(F.struct("first", "hot")).alias("runs")
     )
     listed = saved(listed, "runs")
@@ -265,7 +262,7 @@ def repeated_strings(documents: DataFrame, length: int) -> DataFrame:
     )
     at = F.struct(*KEY, "first")
     earliest = strings.groupBy("digest").agg(F.min(at).alias("earliest"), F.count("*").alias("n")).filter("n > 1")
-    hot = strings.join(earliest, "digest").filter(~at.eqNullSafe(F.col("earliest")))
+    hot = join_counted(strings, saved(earliest, "earliest"), ["digest"]).filter(~at.eqNullSafe(F.col("earliest")))
     return usual.union(hot.select(*KEY, "first", F.col("first").alias("last")))
 
 
@@ -306,16 +303,19 @@ def remove_repeated_strings(documents: DataFrame, length: int = 100) -> DataFram
     Whole copies of an earlier text are found by SHA-256 first. Of the rest only anchors are shuffled,
     one for about 40 bytes, and combined. Strings with a repeated anchor go to its shard, where copies
     of a whole context fall together and what is left is sorted column by column on its bytes. An
-    anchor of more than HOT occurrences is not gathered: its strings are grouped by a 128-bit hash.
+    anchor of more than HOT occurrences is not gathered: its strings are grouped by a 128-bit hash. The joins
+    with what is frequent broadcast it, so no task gets all rows of an anchor, a string or a sum. Rows are told
+    apart by doc_id and a 64-bit hash of the text.
     """
     if length < ANCHOR + 8:
         raise ValueError(f"strings must have {ANCHOR + 8} bytes or more")
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    whole = documents.select("doc_id", F.hash("text").alias("text_hash"), data.alias("data"))
+    whole = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), data.alias("data"))
     sums = saved(whole.select(*KEY, F.sha2("data", 256).alias("sum"), F.length("data").alias("size")), "sums")
     known = F.struct(*KEY)
     firsts = sums.groupBy("sum").agg(F.min(known).alias("earliest"), F.count("*").alias("n")).filter("n > 1")
-    copies = sums.filter(F.col("size") >= length).join(firsts, "sum")
+    firsts = saved(firsts, "firsts")
+    copies = join_counted(sums.filter(F.col("size") >= length), firsts, ["sum"])
     copies = saved(copies.filter(~known.eqNullSafe(F.col("earliest"))).select(*KEY).distinct(), "copies")
 
     single = whole.filter(F.length("data") >= length)
