@@ -133,6 +133,77 @@ def queries() -> dict[str, Query]:
     return {query.__name__: query for query in registered}
 
 
+# The base32 digits of a SHA-1 are read off its hex form, four of them from every five.
+OP1_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sum FROM pages),
+digits AS (
+  SELECT page_id, strlen(payload) AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+      (CAST('0x' || substr(sum, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS BIGINT)) & 31 AS BIGINT) + 1, 1)), '')
+      AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS latest
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM latest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+FROM digits
+"""
+
+
+# Bytes are pairs of hex digits; what no repeated string covers is joined again.
+OP3_SQL = r"""
+WITH coded AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+strings AS (
+  SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 200)) AS string
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS pos FROM coded WHERE n >= 100)),
+later AS (
+  SELECT doc_id, pos FROM strings QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, pos) > 1),
+begun AS (
+  SELECT doc_id, pos,
+    CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 THEN 0 ELSE 1 END AS is_new
+  FROM later),
+numbered AS (
+  SELECT doc_id, pos, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM begun),
+gone AS (SELECT doc_id, run, min(pos) AS low, max(pos) + 100 AS high FROM numbered GROUP BY doc_id, run),
+edges AS (
+  SELECT c.doc_id, c.h, c.n, g.low, g.high,
+    coalesce(lag(g.high) OVER (PARTITION BY c.doc_id ORDER BY g.low), 0) AS since
+  FROM coded c LEFT JOIN gone g ON g.doc_id = c.doc_id),
+cut AS (
+  SELECT doc_id, any_value(n) AS n, any_value(h) AS h, CAST(coalesce(sum(high - low), 0) AS BIGINT) AS n_removed,
+    count(low) AS n_spans, max(high) AS last,
+    coalesce(string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low), '') AS kept
+  FROM edges GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n_removed, n_spans,
+  sha256(unhex(kept || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM cut
+"""
+
+
+# Of equal pairs of lines the first stays; one that shares a line with it isn't a repeat.
+OP4_SQL = r"""
+WITH cut AS MATERIALIZED (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+pairs AS (
+  SELECT doc_id, pos, lines[pos] || chr(10) || lines[pos + 1] AS pair
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - CAST(lines[-1] = '' AS INTEGER))) AS pos FROM cut)
+  WHERE regexp_matches(lines[pos] || lines[pos + 1], '[^\s]')),
+placed AS (
+  SELECT doc_id, pos, first_value(doc_id) OVER same AS first_id, first_value(pos) OVER same AS first_at
+  FROM pairs WINDOW same AS (PARTITION BY pair ORDER BY doc_id, pos)),
+gone AS (
+  SELECT doc_id, list(DISTINCT line) AS gone
+  FROM (SELECT doc_id, unnest([pos, pos + 1]) AS line FROM placed WHERE doc_id <> first_id OR pos > first_at + 1)
+  GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+    list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(gone, i)), lambda i: lines[i]),
+    chr(10)) END AS text
+FROM cut c LEFT JOIN gone g ON g.doc_id = c.doc_id
+"""
+
+
 # Items of fewer than eight shingles need no case of their own here: the join is exact.
 OP2_SQL = r"""
 WITH split AS (
@@ -298,6 +369,7 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op8_jaccard_join": OP8_SQL,
+    return {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_suffix_dedup": OP3_SQL,
+        "op4_line_dedup": OP4_SQL, "op8_jaccard_join": OP8_SQL,
         "op9_url_filters": OP9_SQL, "op10_mixing": OP10_SQL,
         "op11_hard_negatives": OP11_SQL, "op12_exact_dedup": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
