@@ -91,40 +91,16 @@ def only(df: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def join_counted(rows: DataFrame, counted: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``rows`` (inner or left) with the saved frame ``counted``: one narrow row per key, with its rows as ``n``.
 
-    All of ``counted`` is broadcast if it was counted to be small. Else the keys with more than a thousandth of
-    the rows are, fewer than a thousand whatever the input, and only the rows of the others are shuffled by key. So
-    no task gets all rows of a frequent key. NULL keys meet nothing.
+    The keys with more than a thousandth of the rows are broadcast, fewer than a thousand at every size, and only
+    the rows of the others are shuffled by key, so no task gets all rows of a frequent key. NULL keys meet nothing.
     """
     keys = list(keys)
-    size, total = counted.agg(F.count("*"), F.sum("n")).first()
-    if size <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(counted), keys, how)
+    total = counted.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(counted.filter(F.col("n") > total // 1000))
     usual = rows.join(hot.select(*keys), keys, "left_anti").join(counted, keys, how)
     return rows.join(hot, keys).unionByName(usual)
 
 
-def with_lists(rows: DataFrame, listed: DataFrame, keys: Sequence[str], lists: str) -> DataFrame:
-    """``rows`` with the list ``lists`` that the saved frame ``listed`` has for their keys, else NULL.
-
-    If the lists were counted to have few entries in all, they are broadcast. Else, if few keys have one, only
-    the rows with these keys are shuffled; and beyond that all are.
-    """
-    size, entries = listed.agg(F.count("*"), F.sum(F.size(lists))).first()
-
-    def joined(some: DataFrame, found: DataFrame, how: str) -> DataFrame:
-        return some.join(found, same_keys(some, found, keys), how).select(*(some[c] for c in some.columns), lists)
-
-    if (entries or 0) <= BROADCAST_ROWS:
-        return joined(rows, F.broadcast(listed), "left")
-    if size > BROADCAST_ROWS:
-        return joined(rows, listed, "left")
-    names = F.broadcast(listed.select(*keys))
-    met = same_keys(rows, names, keys)
-    rest = rows.join(names, met, "left_anti").withColumn(lists, F.lit(None).cast(listed.schema[lists].dataType))
-    return rest.union(joined(rows.join(names, met, "left_semi"), listed, "inner"))
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import join_counted, saved, with_lists
+from cartwright.llm.common import join_counted, same_keys, saved
 
 #: What identifies a row: its id and a hash of its text. Rows equal in both count as one document.
 KEY = ["doc_id", "text_hash"]
@@ -122,8 +122,8 @@ def remove_repeated_spans(
 
     Texts are cut once and their spans saved, as hashes. Spans are counted with partial sums before they
     shuffle. The join that finds the repeats broadcasts the most frequent spans, so none of them lands in one
-    task. A document's repeats, no more than its sentences, come together in one row, and documents without any
-    aren't shuffled while those with some are few.
+    task. A document's repeats, no more than its sentences, come together in one row, which its text meets
+    in one shuffle.
     """
     text_hash = F.xxhash64("text")
     keyed = documents.select("doc_id", text_hash.alias("text_hash"), "text")
@@ -145,7 +145,7 @@ def remove_repeated_spans(
         later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "length")).alias("spans")), "spans"
     )
     rows = documents.select(F.struct("*").alias("row"), "doc_id", text_hash.alias("text_hash"))
-    matched = with_lists(rows, repeats, KEY, "spans")
+    matched = rows.join(repeats, same_keys(rows, repeats, KEY), "left")
     without = F.pandas_udf(
         _without, "text string, n_sentences long, n_removed long, n_spans long"
     )

@@ -139,8 +139,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
 
     The bytes go through Spark's text writer, line by line, so they reach any file system that
     Spark writes to, and a task that is run again commits its package once. Payloads are compared by
-    SHA-1. The largest ids are aggregated before they shuffle. Where the repeated payloads are few, no page
-    is shuffled; beyond that the pages of the most frequent payloads aren't, so none fills one task.
+    SHA-1. The largest ids are aggregated before they shuffle. The pages of the most frequent payloads
+    aren't shuffled, so none fills one task.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     hashed = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
