@@ -11,6 +11,8 @@ from cartwright.llm.common import broadcast_if_small, only, saved
 SHINGLE = 5
 #: Items with fewer shingles are looked up by all of them, as a few minima could miss one.
 FEW = 8
+#: The items' shingles are broadcast if they take at most so many bytes in all, counted with 16 more for each.
+ITEM_BYTES = 64_000_000
 #: Documents fall into partitions by the power of two of their number of shingles.
 SIZES = range(0, 32)
 
@@ -119,10 +121,11 @@ def contaminated(
         .select("doc_id", "asked", _shingles().alias("shingles"))
         .select("doc_id", "shingles", F.explode_outer("asked.item_id").alias("asked_id"))
     )
-    exact = checked.join(
-        broadcast_if_small(items.select("item_id", "item"), 10_000),
-        F.col("asked_id").eqNullSafe(F.col("item_id")),
-    )
+    size = F.aggregate("item", F.lit(0).cast("long"), lambda total, x: total + F.octet_length(x) + 16)
+    compared = items.select("item_id", "item")
+    if (items.agg(F.sum(size)).first()[0] or 0) <= ITEM_BYTES:
+        compared = F.broadcast(compared)
+    exact = checked.join(compared, F.col("asked_id").eqNullSafe(F.col("item_id")))
     shared = F.size(F.array_intersect("shingles", "item")).cast("long")
     best = F.max_by(F.struct("item_shingles", "shared", "containment"), F.col("containment"))
     return (
