@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import saved
+from cartwright.llm.common import broadcast_if_small, saved
 from cartwright.llm.text_measures import _WORD, base_measures, measured
 
 BINS = 32
@@ -197,13 +197,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def _smallest_hashes(labelled: DataFrame, sample: int) -> pd.DataFrame:
+    """At most ``sample`` labelled rows, counting each as often as its ``n`` says: those with the smallest hash.
+
+    Equal rows are combined and counted first. Where there are more than twice ``sample`` others,
+    only those in so low a range of hashes are sorted that about twice ``sample`` remain, so tasks send the driver
+    about as many in all, however many tasks there are.
+    """
+    columns = ["doc_id", "quality", *FEATURES]
+    combined = labelled.groupBy(*columns).agg(F.sum("n").alias("n"))
+    combined = saved(combined.withColumn("place", F.xxhash64(*columns)), "labelled")
+    total = combined.count()
+    if total > 2 * sample:
+        combined = combined.filter(F.col("place") < -(2**63) + 2**64 * 2 * sample // total)
+    first = combined.orderBy("place", *columns).limit(sample).toPandas()
+    at = np.repeat(np.arange(len(first)), np.minimum(first["n"].to_numpy(dtype=np.int64), sample))
+    return first.iloc[at[:sample]]
+
+
 def classify(
     documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 20_000
 ) -> DataFrame:
     """Score every document for quality with a model learned from the labelled ones that aren't held out.
 
     Inputs are measures of the whole text alone. The model is fitted on at most ``sample`` labelled
-    rows, those with the smallest hash of their id; that bounds what reaches the driver. Documents are
+    rows, those with the smallest hash; that bounds what reaches the driver. Documents are
     held out where the CRC-32 of their id as text leaves 2 modulo 4.
 
     Returns doc_id, held_out, score and predicted (1 from ``threshold`` on), one row per input row.
@@ -218,8 +236,8 @@ def classify(
     rows = saved(measured(documents, ["text"], features, schema, list(FEATURES)), "measures")
     known = labels.select("doc_id", F.col("quality").cast("double").alias("quality"))
     known = known.filter(F.col("quality").isin(0.0, 1.0) & ~held_out(F.col("doc_id")))
-    chosen = rows.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *FEATURES)
-    train = chosen.limit(sample).toPandas()
+    counted = saved(known.groupBy("doc_id", "quality").agg(F.count("*").alias("n")), "labels")
+    train = _smallest_hashes(rows.join(broadcast_if_small(counted), "doc_id"), sample)
     model = AdditiveModel().fit(train[list(FEATURES)].to_numpy(float), train["quality"].to_numpy(float))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -177,6 +177,39 @@ def test_classifier_learns(make_docs, spark, odd):
     assert quality_gam.classify(make_docs([]), labels).count() == 0
 
 
+def test_training_rows_are_those_with_the_smallest_hashes(spark):
+    rng = random.Random(5)
+    columns = ["doc_id", "quality", *quality_gam.FEATURES]
+    rows = [(k, float(k % 2), *(float(rng.randrange(9)) for _ in quality_gam.FEATURES), 1 + k % 3) for k in range(900)]
+    rows += [(*rows[7][:-1], 1)] * 450
+    schema = "doc_id long, quality double, " + ", ".join(f"{name} double" for name in quality_gam.FEATURES)
+    labelled = spark.createDataFrame(rows, f"{schema}, n long")
+    placed = labelled.selectExpr(f"xxhash64({', '.join(columns)}) AS place", "*").collect()
+    ordered = [row[1:-1] for row in sorted(placed) for _ in range(row.n)]
+    for sample in (40, 500, 5000):
+        chosen = quality_gam._smallest_hashes(labelled, sample)
+        assert list(chosen[columns].itertuples(index=False, name=None)) == ordered[:sample]
+    assert not len(quality_gam._smallest_hashes(labelled.limit(0), 40))
+
+
+def test_a_repeated_training_row_may_fill_the_sample(spark):
+    row = (1, 1.0, *(2.0 for _ in quality_gam.FEATURES), 10**9)
+    schema = "doc_id long, quality double, " + ", ".join(f"{name} double" for name in quality_gam.FEATURES)
+    assert len(quality_gam._smallest_hashes(spark.createDataFrame([row], f"{schema}, n long"), 40)) == 40
+
+
+def test_items_too_large_to_broadcast_are_found_alike(spark, make_docs, odd, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(30))
+    documents = make_docs([*odd, (20, f"before {text} after"), (21, text), (22, text[: len(text) // 2])])
+    items = spark.createDataFrame([(1, text), (2, text), (None, text), (3, None), (4, "")], "item_id long, text string")
+    found = {}
+    for most in (0, decontaminate.ITEM_BYTES):
+        monkeypatch.setattr(decontaminate, "ITEM_BYTES", most)
+        found[most] = sorted(decontaminate.contaminated(documents, items).collect(), key=str)
+    assert found[0] == found[decontaminate.ITEM_BYTES]
+    assert {(r.doc_id, r.item_id) for r in found[0]} == {(d, i) for d in (20, 21) for i in (1, 2, None)}
+
+
 def test_archives_round_trip(spark, make_pages, tmp_path):
     pages = [(i, f"http://a/{i}", f"<p>{i % 7}é</p>\r\n\r\n" * (i % 5)) for i in range(60)]
     pages += [(None, None, None), (61, "http://a/\r\nX: y", None), (62, "u", "x" * 3_000_000), (63, "u", "\n"), (63, "u", "\n")]
