@@ -21,10 +21,12 @@ BROADCAST_ROWS = 400_000
 def workspace(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where that is unset, as in a plain local session, a folder in the warehouse.
+    Where that is unset, a local session uses a folder in the warehouse; others must set it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_workspace"
     return folder.rstrip("/")
 
