@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.config import RuleBook
 from cartwright.functions import metrics
@@ -87,16 +90,19 @@ def enriched_orders(
     rules: RuleBook,
     policy: SkewPolicy = DEFAULT_SKEW,
     profile: dict[tuple[str, str], Heavy] | None = None,
+    shown: Callable[[T.StructField], str] | None = None,
 ) -> DataFrame:
     """Orders left-joined with all other domains, plus the derived order columns.
 
     An order repeats once per warehouse of its product and once per shipment. Of the sides that
     need a shuffle, the narrow shipping columns are joined first and the inventory fan-out last,
     next to the products on the same placement, so that the widest and most numerous rows are never
-    shuffled again. Neither that order nor the columns' depends on the size of a side.
+    shuffled again. Neither that order nor the columns' depends on the size of a side. The derived columns
+    read no inventory, so they are computed before its fan-out: once per order, not once per warehouse.
 
     ``profile`` has the heaviest keys by (domain, column) where they are known, as from ``join_profile``
-    or from the writes of the stages.
+    or from the writes of the stages. ``shown`` gives the SQL expression that is returned in place of a column;
+    it too is computed before the fan-out, and may not change the keys.
     """
     profile = join_profile(stages, policy) if profile is None else profile
     sides = {
@@ -112,6 +118,19 @@ def enriched_orders(
         "customer_id": ["customers"],
         "product_id": ["products", "inventory"],
     }
+    columns = _contract_columns(orders, sides)
+    layers = metrics.order_fact_layers(rules)
+    derived = [name for layer in layers for name in layer]
+
+    def expressions(df: DataFrame) -> dict[str, Column]:
+        fields = [f for f in df.schema if shown and f.name in {*columns, *derived}]
+        return {f.name: F.expr(shown(f)) for f in fields if shown(f) != f"`{f.name}`"}
+
+    def finish(met: DataFrame) -> DataFrame:
+        met = add_layers(met, layers)
+        return met.withColumns(expressions(met))
+
+    sides["inventory"] = sides["inventory"].withColumns(expressions(sides["inventory"]))
     fact = orders
     for key, domains in steps.items():
         fact = spread_join(
@@ -123,9 +142,9 @@ def enriched_orders(
             left_heavy=profile.get(("orders", key), {}),
             right_heavy=[profile.get((domain, key), {}) for domain in domains],
             left_cells_by=["order_id"],
+            before_last=finish if "inventory" in domains else None,
         )
-    fact = fact.select(*_contract_columns(orders, sides))
-    return add_layers(fact, metrics.order_fact_layers(rules))
+    return fact.select(*columns, *derived)
 
 
 def _contract_columns(orders: DataFrame, sides: dict[str, DataFrame]) -> list[str]:

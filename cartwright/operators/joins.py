@@ -15,7 +15,7 @@ first attempt put it. The partition is in the hash so that exact copies of one r
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil, prod
@@ -150,6 +150,7 @@ def spread_join(
     right_heavy: Sequence[Heavy] | None = None,
     left_cells_by: Sequence[str] | None = None,
     left_unique: bool = False,
+    before_last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Join ``left`` with one or more sides on the column ``key`` (USING semantics).
 
@@ -160,6 +161,10 @@ def spread_join(
     ``left_cells_by`` names columns that tell left rows of one key apart, in place of all columns. All
     these only steer the placement, not the result.
 
+    ``before_last`` adds or changes columns of ``left`` and of all sides but the last, row by row; it may not
+    touch the key or drop a column. It runs before the last side multiplies the rows, unless a side
+    before it is small and so is joined after it.
+
     ``how`` is inner, left, left_semi or left_anti. NULL keys match nothing; many of them are spread as well.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -176,12 +181,17 @@ def spread_join(
     if large:
         left_heavy = {} if left_unique and left_heavy is None else left_heavy
         left_keys = left if left_keys is None else left_keys
-        left = _spread(left, left_keys, large, key, how, policy, left_heavy, left_cells_by or left.columns)
+        # The last of the large sides is the last of all only if none is small.
+        ready = None if any(fits) else before_last
+        left = _spread(left, left_keys, large, key, how, policy, left_heavy, left_cells_by or left.columns, ready)
     # Last, so that what the small sides add is not shuffled.
-    for side, small in zip(pending, fits):
+    for at, (side, small) in enumerate(zip(pending, fits)):
         if small:
+            if before_last and at == len(pending) - 1:
+                left = before_last(left)
             left = left.join(side, key, how)
-    return left
+    # The last side was large and met the rows before a small one did.
+    return before_last(left) if before_last and any(fits) and not fits[-1] else left
 
 
 def _spread(
@@ -193,7 +203,11 @@ def _spread(
     policy: SkewPolicy,
     left_heavy: Heavy | None,
     left_cells_by: Sequence[str],
+    before_last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
+    def prepared(met: DataFrame, side: DataFrame) -> DataFrame:
+        return before_last(met) if before_last and side is pending[-1][0] else met
+
     names = [_LEFT_CELL] + [f"__cell_r{i}" for i in range(len(pending))]
     sides = dict(zip(names, [left_keys, *(side for side, _ in pending)]))
     known = dict(zip(names, [left_heavy, *(heavy for _, heavy in pending)]))
@@ -202,7 +216,7 @@ def _spread(
     hot = _cells(known, policy)
     many_nulls = how in ("left", "left_anti") and known[_LEFT_CELL].get(None, 0) > policy.rows_per_cell
     if not (hot or many_nulls or policy.always_spread):
-        return reduce(lambda met, side: met.join(side[0], key, how), pending, left)
+        return reduce(lambda met, side: prepared(met, side[0]).join(side[0], key, how), pending, left)
     spark = left.sparkSession
     kind = left.schema[key].dataType.simpleString()
     table = spark.createDataFrame(
@@ -219,7 +233,7 @@ def _spread(
         placed = _place(side, table, key, name, others, [], 1, side.columns)
         if how == "left":
             placed = placed.withColumn(mark, F.lit(True))
-        result = result.join(placed, on, how)
+        result = prepared(result, side).join(placed, on, how)
         if how == "left":
             # A right side cut into several cells does hold the key, so a left row that found
             # nothing in one cell finds its partners in another and must not survive here.

@@ -42,22 +42,21 @@ FIRST_LOAD = "order_date < DATE'2001-01-01'"
 SECOND_LOAD = "order_date >= DATE'2000-07-01' OR order_date IS NULL"
 
 
+def plain_column(field: T.StructField) -> str:
+    name, kind = f"`{field.name}`", field.dataType
+    if isinstance(kind, T.DecimalType):
+        return f"cast({f'round({name}, 6)' if kind.scale > 6 else name} AS double)"
+    if isinstance(kind, T.IntegerType):
+        return f"cast({name} AS bigint)"
+    if isinstance(kind, T.TimestampType):
+        return f"cast({name} AS string)"
+    if isinstance(kind, T.ArrayType):
+        return f"array_join({name}, '|')"
+    return name
+
+
 def plain(df: DataFrame) -> DataFrame:
-    def plain_column(field: T.StructField) -> str:
-        name, kind = f"`{field.name}`", field.dataType
-        if isinstance(kind, T.DecimalType):
-            value = f"cast({f'round({name}, 6)' if kind.scale > 6 else name} AS double)"
-        elif isinstance(kind, T.IntegerType):
-            value = f"cast({name} AS bigint)"
-        elif isinstance(kind, T.TimestampType):
-            value = f"cast({name} AS string)"
-        elif isinstance(kind, T.ArrayType):
-            value = f"array_join({name}, '|')"
-        else:
-            value = name
-        return f"{value} AS {name}"
-
-    return df.selectExpr(*map(plain_column, df.schema))
+    return df.selectExpr(*(f"{plain_column(field)} AS `{field.name}`" for field in df.schema))
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -239,7 +238,9 @@ def _row_counts(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _fact(rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW) -> Query:
-    return lambda spark, d: plain(sample_fact(spark, d, rules, policy)[0])
+    return lambda spark, d: enrich.enriched_orders(
+        sample_stages(spark, d, rules), rules, policy, shown=plain_column
+    )
 
 
 def _customers(
