@@ -286,24 +286,26 @@ def _history(table: str, rules: RuleBook, load_twice: bool, closed: bool = False
         # Both loads read the one fact.
         fact = stored(fact, "fact") if load_twice else fact
 
+        # Order rows are the stored fact's own; only what was computed from it is stored again.
+        kept = stored if load_twice and table != "orders_target" else lambda df, label: df
+
         def load(when: str) -> DataFrame:
             return history.batch(rows_of(fact.filter(when), stages, rules))
 
         # The rows themselves are computed as of the sample's day; only the history moves on.
-        first = load(FIRST_LOAD if load_twice else "true")
-        first = stored(first, "first") if load_twice else first
-        state = scd2.stamp_current(first, rules)
+        state = scd2.stamp_current(kept(load(FIRST_LOAD if load_twice else "true"), "first"), rules)
+        older = None
         if closed:
             month_ago = F.lit(AS_OF - dt.timedelta(days=30))
-            older = {"effective_date": month_ago, "expiry_date": F.lit(AS_OF)}
-            state = state.unionByName(
-                state.withColumns({**older, "is_current": F.lit(False)})
-            )
+            dates = {"effective_date": month_ago, "expiry_date": F.lit(AS_OF)}
+            older = state.withColumns({**dates, "is_current": F.lit(False)})
+        guard = history.guarded(rules)
+        if older is not None and not guard:
+            state, older = state.unionByName(older), None
         if load_twice:
-            batch = stored(load(SECOND_LOAD), "batch")
-            guard = history.guarded(rules)
-            state = scd2.scd2_apply(state, batch, history.key, second_day, guard)
-        return plain(state)
+            state = scd2.scd2_apply(state, kept(load(SECOND_LOAD), "batch"), history.key, second_day, guard)
+        # Under the guard closed rows stay as they are, so they need not pass the update.
+        return plain(state if older is None else state.unionByName(older))
 
     return query
 

@@ -166,3 +166,14 @@ def test_columns_are_derived_and_shown_before_the_inventory_fan_out(stages, poli
     # A plan's root comes first: above the last join nothing is computed any more.
     assert not re.search(r"\bcast\(|CASE WHEN|dayofweek", text[:last])
     assert re.search(r"dayofweek", text[last:]) and "as string) AS created_timestamp" in text[last:]
+
+
+def test_order_history_stores_the_fact_alone_and_passes_no_closed_rows(spark, data, monkeypatch):
+    labels, targets = [], []
+    store, apply = catalog.stored, scd2.scd2_apply
+    monkeypatch.setattr(catalog, "stored", lambda df, label: labels.append(label) or store(df, label))
+    monkeypatch.setattr(scd2, "scd2_apply", lambda target, *rest: targets.append(target) or apply(target, *rest))
+    for name in ("scd2_orders_second", "v1_scd2_orders"):
+        catalog.queries()[name](spark, data)
+    assert labels == ["fact", "fact"]
+    assert all("Union" not in optimized(target) for target in targets)
