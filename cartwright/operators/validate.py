@@ -143,27 +143,45 @@ DOMAINS_OF: dict[str, tuple[str, ...]] = {
 # --- counts -------------------------------------------------------------------------------------
 
 # The kinds of keys that rows are grouped by; prices and stocks stand beside a product's key.
-_CUSTOMER, _PRODUCT, _ORDER, _PRICE, _STOCK = "customer", "product", "order", "price", "stock"
+_CUSTOMER, _PRODUCT, _ORDER, _PRICE, _STOCK = range(5)
+
+# The measures of each kind. Kinds share the columns that hold them, by position, as a task keeps a row of
+# every group it meets in memory; those of the stock check come last, so that others don't carry them.
+_MEASURES = {
+    _CUSTOMER: ("orders", "customers", "cheap", "premium", "unreasonable", "off_hours"),
+    _PRODUCT: ("orders", "products", "inventory", "ended", "valued", "priced", "stocked", "counted"),
+    _ORDER: ("orders", "shipping", "unreasonable"),
+    _PRICE: ("orders", "products"),
+    _STOCK: ("inventory", "products"),
+}
+
+
+def _place(kind: int, name: str) -> str:
+    return f"m{_MEASURES[kind].index(name)}"
 
 
 @dataclass(frozen=True)
 class _Entry:
     """One key of a row and what the row adds to the measures of that key."""
 
-    kind: str
+    kind: int
     key: str
     measures: dict[str, Column | int]
     value: Column | None = None
 
+    def placed(self) -> dict[str, Column | int]:
+        return {_place(self.kind, name): amount for name, amount in self.measures.items()}
+
 
-def _entries(stage: DataFrame, entries: list[_Entry], names: list[str]) -> DataFrame:
+def _entries(stage: DataFrame, entries: list[_Entry], places: list[str]) -> DataFrame:
     """The entries of every row of a stage, as (kind, key, value, measures)."""
 
     def entry(e: _Entry) -> Column:
-        value = F.lit(None) if e.value is None else e.value
-        amounts = [F.coalesce(F.lit(e.measures.get(n, 0)).cast("bigint"), F.lit(0)).alias(n) for n in names]
+        value, placed = F.lit(None) if e.value is None else e.value, e.placed()
+        amounts = [F.coalesce(F.lit(placed.get(p, 0)).cast("bigint"), F.lit(0)).alias(p) for p in places]
+        # A decimal of up to 18 digits is kept as a number of eight bytes.
         return F.struct(
-            F.lit(e.kind).alias("kind"), F.col(e.key).alias("key"), value.cast("decimal(20,2)").alias("value"), *amounts
+            F.lit(e.kind).alias("kind"), F.col(e.key).alias("key"), value.cast("decimal(18,2)").alias("value"), *amounts
         )
 
     return stage.select(F.inline(F.array(*map(entry, entries))))
@@ -173,22 +191,28 @@ def _total(amount: Column) -> Column:
     return F.coalesce(F.sum(amount), F.lit(0)).cast("bigint")
 
 
-def _of(kind: str, amount: Column) -> Column:
+def _of(kind: int, amount: Column) -> Column:
     return F.when(F.col("kind") == kind, amount)
 
 
-def _sum(kind: str, name: str) -> Column:
-    return _total(_of(kind, F.col(name)))
+def _in(kind: int, name: str) -> Column:
+    return F.col(_place(kind, name))
 
 
-def _without(kind: str, own: str, other: str) -> Column:
+def _sum(kind: int, name: str) -> Column:
+    return _total(_of(kind, _in(kind, name)))
+
+
+def _without(kind: int, own: str, other: str) -> Column:
     """Rows of one side whose key the other side lacks; a NULL key has no partner."""
-    return _total(_of(kind, F.when(F.col("key").isNull() | (F.col(other) == 0), F.col(own))))
+    return _total(_of(kind, F.when(F.col("key").isNull() | (_in(kind, other) == 0), _in(kind, own))))
 
 
-def _pairs(kind: str, own: str, other: str) -> Column:
-    """Rows an inner join of two sides would give."""
-    return _total(_of(kind, F.when(F.col("key").isNotNull(), F.col(own) * F.col(other))))
+def _pairs(kind: int, own: str, other: str, value: bool = False) -> Column:
+    """Rows an inner join of two sides would give; with ``value``, also on the value."""
+    # A group without a value holds rows that have none, and agrees with no other.
+    present = F.col("key").isNotNull() & (F.col("value").isNotNull() if value else F.lit(True))
+    return _total(_of(kind, F.when(present, _in(kind, own) * _in(kind, other))))
 
 
 def _as_rows(counts: DataFrame) -> DataFrame:
@@ -253,14 +277,10 @@ def check_counts(
         _Entry(_ORDER, "order_id", {"shipping": 1, "unreasonable": unreasonable_cost(rules)})
     ]
     if stock_check:
-        products += [
-            _Entry(_PRODUCT, "product_id", {"stocked": stock.isNotNull()}),
-            _Entry(_STOCK, "product_id", {"products": 1}, stock),
-        ]
-        inventory += [
-            _Entry(_PRODUCT, "product_id", {"counted": stock.isNotNull()}),
-            _Entry(_STOCK, "product_id", {"inventory": 1}, stock),
-        ]
+        products[0].measures["stocked"] = stock.isNotNull()
+        products.append(_Entry(_STOCK, "product_id", {"products": 1}, stock))
+        inventory[0].measures["counted"] = stock.isNotNull()
+        inventory.append(_Entry(_STOCK, "product_id", {"inventory": 1}, stock))
     listed = {
         "orders": orders,
         "customers": customers,
@@ -268,13 +288,11 @@ def check_counts(
         "inventory": inventory,
         "shipping": shipping,
     }
-    names = list(dict.fromkeys(n for entries in listed.values() for e in entries for n in e.measures))
+    places = sorted({p for entries in listed.values() for e in entries for p in e.placed()})
     stacked = reduce(
-        DataFrame.unionAll, (_entries(stages[domain], entries, names) for domain, entries in listed.items())
+        DataFrame.unionAll, (_entries(stages[domain], entries, places) for domain, entries in listed.items())
     )
-    grouped = stacked.groupBy("kind", "key", "value").agg(*(F.sum(n).alias(n) for n in names))
-    # A group without a value holds rows that have none, and agrees with no other.
-    agreeing = F.when(F.col("value").isNotNull() & F.col("key").isNotNull(), F.col("orders") * F.col("products"))
+    grouped = stacked.groupBy("kind", "key", "value").agg(*(F.sum(p).alias(p) for p in places))
     counts = {
         "orphaned_orders": _without(_CUSTOMER, "orders", "customers"),
         "orphaned_customers": _without(_CUSTOMER, "customers", "orders"),
@@ -289,11 +307,10 @@ def check_counts(
         "orders_without_shipping": _without(_ORDER, "orders", "shipping"),
         "unreasonable_shipping_cost": _sum(_ORDER, "unreasonable"),
         "shipping_without_orders": _without(_ORDER, "shipping", "orders"),
-        "price_mismatch": _pairs(_PRODUCT, "valued", "priced") - _total(_of(_PRICE, agreeing)),
+        "price_mismatch": _pairs(_PRODUCT, "valued", "priced") - _pairs(_PRICE, "orders", "products", value=True),
     }
     if stock_check:
-        same = F.when(F.col("value").isNotNull() & F.col("key").isNotNull(), F.col("inventory") * F.col("products"))
-        counts["stock_mismatch"] = _pairs(_PRODUCT, "counted", "stocked") - _total(_of(_STOCK, same))
+        counts["stock_mismatch"] = _pairs(_PRODUCT, "counted", "stocked") - _pairs(_STOCK, "inventory", "products", value=True)
     return _as_rows(grouped.agg(*(count.alias(name) for name, count in counts.items())))
 
 

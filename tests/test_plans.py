@@ -177,3 +177,12 @@ def test_order_history_stores_the_fact_alone_and_passes_no_closed_rows(spark, da
         catalog.queries()[name](spark, data)
     assert labels == ["fact", "fact"]
     assert all("Union" not in optimized(target) for target in targets)
+
+
+def test_groups_of_the_checks_are_narrow(stages):
+    """A task holds a row of every group it meets: numbers of eight bytes, no more of them than one kind needs."""
+    for stock_check, most in ((False, 6), (True, 8)):
+        text = optimized(validate.check_counts(stages, RULES, stock_check=stock_check))
+        group = next(line for line in text.splitlines() if re.search(r"Aggregate \[kind", line))
+        assert len(re.findall(r"\bsum\(", group)) <= most
+        assert "decimal(20,2)" not in text
