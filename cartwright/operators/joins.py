@@ -64,6 +64,15 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(statistics.sizeInBytes())) <= limit
 
 
+def bytes_read(df: DataFrame) -> int:
+    """The size of all tables and files that ``df`` reads, by the optimizer's estimate; 0 if it is unknown."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    except (AttributeError, PySparkException):  # a client without access to the plan
+        return 0
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 #: Items that a sketch of heavy keys keeps: a key with 3.5/TRACKED of the rows is always among them.
 TRACKED = 10_000
 

@@ -3,7 +3,8 @@
 The row form returns the rows a check complains about. The count form joins nothing: every row of
 every stage becomes one entry for each of its keys, the entries of all stages are grouped once, and all
 checks are sums over the groups. Each stage is read once. The partial aggregation runs before the
-shuffle, so a key with a third of all rows reaches the shuffle as one row per task.
+shuffle, so a key with a third of all rows reaches the shuffle as one row per task. As it holds every group
+its task meets, the rows of a large stage are first dealt to tasks of a bounded size.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.config import RuleBook
-from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, orphans, spread_join
+from cartwright.operators.joins import DEFAULT_SKEW, SkewPolicy, bytes_read, orphans, spread_join
 
 Stages = dict[str, DataFrame]
 
@@ -173,6 +175,30 @@ class _Entry:
         return {_place(self.kind, name): amount for name, amount in self.measures.items()}
 
 
+#: Bytes of a stage's input, counted once for each entry of a row, that one task turns into groups.
+TASK_BYTES = 16 * 2**20
+
+# A stage's own key, which tells apart the rows that share the others.
+_OWN_KEY = {
+    "orders": "order_id",
+    "customers": "customer_id",
+    "products": "product_id",
+    "inventory": "inventory_id",
+    "shipping": "shipping_id",
+}
+
+
+def _dealt(stage: DataFrame, domain: str, entries: list[_Entry]) -> DataFrame:
+    """The rows of a large stage in tasks that each group the entries of ``TASK_BYTES`` of its input.
+
+    Else a task's memory follows the size of splits or of shuffled blocks, in which a row takes a few bytes
+    and each of its groups some 150. Rows are dealt by all their keys, so that no frequent one keeps them together.
+    """
+    tasks = ceil(bytes_read(stage) * len(entries) / TASK_BYTES)
+    keys = dict.fromkeys([_OWN_KEY[domain], *(e.key for e in entries)])
+    return stage.repartition(tasks, *keys) if tasks > 1 else stage
+
+
 def _entries(stage: DataFrame, entries: list[_Entry], places: list[str]) -> DataFrame:
     """The entries of every row of a stage, as (kind, key, value, measures)."""
 
@@ -290,7 +316,8 @@ def check_counts(
     }
     places = sorted({p for entries in listed.values() for e in entries for p in e.placed()})
     stacked = reduce(
-        DataFrame.unionAll, (_entries(stages[domain], entries, places) for domain, entries in listed.items())
+        DataFrame.unionAll,
+        (_entries(_dealt(stages[domain], domain, entries), entries, places) for domain, entries in listed.items()),
     )
     grouped = stacked.groupBy("kind", "key", "value").agg(*(F.sum(p).alias(p) for p in places))
     counts = {

@@ -6,7 +6,7 @@ import re
 
 import pytest
 from cartwright.config import v2_rules
-from cartwright.operators import enrich, quality, scd2, stage, summary, validate
+from cartwright.operators import enrich, joins, quality, scd2, stage, summary, validate
 from cartwright.operators.joins import SkewPolicy, spread_join
 from cartwright.plans import catalog
 from cartwright.plans.catalog import sample_stages
@@ -177,3 +177,28 @@ def test_groups_of_the_checks_are_narrow(stages):
         group = next(line for line in text.splitlines() if re.search(r"Aggregate \[kind", line))
         assert len(re.findall(r"\bsum\(", group)) <= most
         assert "decimal(20,2)" not in text
+
+
+def test_rows_of_large_stages_are_grouped_in_tasks_of_a_bounded_size(stages, monkeypatch):
+    def dealt(counts):
+        return [int(n) for n in re.findall(r"RepartitionByExpression \[(?:[^\]]*)\], (\d+)", optimized(counts))]
+
+    for stock_check in (False, True):
+        plain = validate.check_counts(stages, RULES, stock_check=stock_check)
+        assert not dealt(plain)
+        for part in (20_000, 5_000):
+            monkeypatch.setattr(validate, "TASK_BYTES", part)
+            counts = validate.check_counts(stages, RULES, stock_check=stock_check)
+            # Four entries of each order, so four times the bytes.
+            assert -(-4 * joins.bytes_read(stages["orders"]) // part) in dealt(counts)
+            assert sorted(counts.collect()) == sorted(plain.collect())
+        monkeypatch.undo()
+
+
+def test_rows_with_a_frequent_key_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(validate, "TASK_BYTES", 2_000)
+    shipping = spark.range(1000).selectExpr("'n/a' AS shipping_id", "cast(id AS string) AS order_id")
+    entries = [validate._Entry(validate._ORDER, "order_id", {"shipping": 1})]
+    parts = validate._dealt(shipping, "shipping", entries).selectExpr("spark_partition_id() AS part").groupBy("part").count()
+    rows = [row["count"] for row in parts.collect()]
+    assert len(rows) == 4 and max(rows) < 350
