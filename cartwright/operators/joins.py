@@ -64,13 +64,18 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(statistics.sizeInBytes())) <= limit
 
 
+#: What the optimizer takes for the size of a source that tells none, such as rows from Python.
+UNKNOWN_BYTES = 2**63 - 1
+
+
 def bytes_read(df: DataFrame) -> int:
-    """The size of all tables and files that ``df`` reads, by the optimizer's estimate; 0 if it is unknown."""
+    """The size of all tables and files that ``df`` reads, by the optimizer's estimate; those that tell none count 0."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     except (AttributeError, PySparkException):  # a client without access to the plan
         return 0
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 #: Items that a sketch of heavy keys keeps: a key with 3.5/TRACKED of the rows is always among them.

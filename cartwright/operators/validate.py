@@ -193,6 +193,7 @@ def _dealt(stage: DataFrame, domain: str, entries: list[_Entry]) -> DataFrame:
 
     Else a task's memory follows the size of splits or of shuffled blocks, in which a row takes a few bytes
     and each of its groups some 150. Rows are dealt by all their keys, so that no frequent one keeps them together.
+    A stage whose size is unknown stays as it is.
     """
     tasks = ceil(bytes_read(stage) * len(entries) / TASK_BYTES)
     keys = dict.fromkeys([_OWN_KEY[domain], *(e.key for e in entries)])

@@ -202,3 +202,11 @@ def test_rows_with_a_frequent_key_are_dealt_to_all_tasks(spark, monkeypatch):
     parts = validate._dealt(shipping, "shipping", entries).selectExpr("spark_partition_id() AS part").groupBy("part").count()
     rows = [row["count"] for row in parts.collect()]
     assert len(rows) == 4 and max(rows) < 350
+
+
+def test_stage_of_unknown_size_is_not_dealt(spark):
+    rows = spark.createDataFrame([("s", "o")], "shipping_id string, order_id string").rdd.toDF()
+    rows = rows.union(spark.createDataFrame(rows.rdd, rows.schema))
+    entries = [validate._Entry(validate._ORDER, "order_id", {"shipping": 1})]
+    assert joins.bytes_read(rows) == 0
+    assert validate._dealt(rows, "shipping", entries) is rows
