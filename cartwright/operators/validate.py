@@ -9,7 +9,7 @@ its task meets, the rows of a large stage are first dealt to tasks of a bounded
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
@@ -175,7 +175,10 @@ class _Entry:
         return {_place(self.kind, name): amount for name, amount in self.measures.items()}
 
 
-#: Bytes of a stage's input, counted once for each entry of a row, that one task turns into groups.
+#: Entries that one task turns into groups, where the number of a stage's rows is known.
+TASK_ENTRIES = 500_000
+
+#: Elsewhere bytes of a stage's input, counted once for each entry of a row.
 TASK_BYTES = 16 * 2**20
 
 # A stage's own key, which tells apart the rows that share the others.
@@ -188,14 +191,16 @@ _OWN_KEY = {
 }
 
 
-def _dealt(stage: DataFrame, domain: str, entries: list[_Entry]) -> DataFrame:
-    """The rows of a large stage in tasks that each group the entries of ``TASK_BYTES`` of its input.
+def _dealt(stage: DataFrame, domain: str, entries: list[_Entry], rows: int | None = None) -> DataFrame:
+    """The rows of a large stage in tasks that each group some ``TASK_ENTRIES`` entries.
 
     Else a task's memory follows the size of splits or of shuffled blocks, in which a row takes a few bytes
     and each of its groups some 150. Rows are dealt by all their keys, so that no frequent one keeps them together.
-    A stage whose size is unknown stays as it is.
+    Where ``rows`` isn't known, tasks get the entries of ``TASK_BYTES`` of the input, however many rows those
+    hold; a stage whose size is unknown too stays as it is.
     """
-    tasks = ceil(bytes_read(stage) * len(entries) / TASK_BYTES)
+    parts = bytes_read(stage) / TASK_BYTES if rows is None else rows / TASK_ENTRIES
+    tasks = ceil(parts * len(entries))
     keys = dict.fromkeys([_OWN_KEY[domain], *(e.key for e in entries)])
     return stage.repartition(tasks, *keys) if tasks > 1 else stage
 
@@ -262,6 +267,7 @@ def check_counts(
     rules: RuleBook,
     policy: SkewPolicy = DEFAULT_SKEW,
     stock_check: bool | None = None,
+    rows: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """(validation_type, count) for all checks, stored or not, from one plan.
 
@@ -269,8 +275,10 @@ def check_counts(
     agrees with a price if it is one of the amounts within the tolerance, in cents, and so meets
     it in one group.
 
-    The stock check belongs to the older rules; ``stock_check`` overrides that.
+    The stock check belongs to the older rules; ``stock_check`` overrides that. ``rows`` tells how many rows
+    each stage has at most; it steers the number of tasks, not the result.
     """
+    rows = rows or {}
     stock_check = rules.is_v1 if stock_check is None else stock_check
     amount, price, stock = F.col("order_amount"), F.col("price"), F.col("stock_quantity")
     orders = [
@@ -318,7 +326,10 @@ def check_counts(
     places = sorted({p for entries in listed.values() for e in entries for p in e.placed()})
     stacked = reduce(
         DataFrame.unionAll,
-        (_entries(_dealt(stages[domain], domain, entries), entries, places) for domain, entries in listed.items()),
+        (
+            _entries(_dealt(stages[domain], domain, entries, rows.get(domain)), entries, places)
+            for domain, entries in listed.items()
+        ),
     )
     grouped = stacked.groupBy("kind", "key", "value").agg(*(F.sum(p).alias(p) for p in places))
     counts = {
@@ -440,9 +451,12 @@ def grade(counts: DataFrame, rules: RuleBook) -> DataFrame:
 
 
 def validation_results(
-    stages: Stages, rules: RuleBook, policy: SkewPolicy = DEFAULT_SKEW
+    stages: Stages,
+    rules: RuleBook,
+    policy: SkewPolicy = DEFAULT_SKEW,
+    rows: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    return grade(check_counts(stages, rules, policy, stock_check=False), rules)
+    return grade(check_counts(stages, rules, policy, stock_check=False, rows=rows), rules)
 
 
 def validation_gate(results: DataFrame, rules: RuleBook) -> DataFrame:

@@ -24,7 +24,7 @@ from cartwright.sinks.hadoop import Files
 from cartwright.sinks.process_log import log_row, log_rows
 from cartwright.sinks.shared import shared_folder, stored, stored_and_counted
 from cartwright.sources.files import scan_csv
-from cartwright.sources.sample import AS_OF, deliver_csv, raw_view, raw_views, sample_rules
+from cartwright.sources.sample import AS_OF, deliver_csv, most_rows, raw_view, raw_views, sample_rules
 from cartwright.streaming.ingest import EpochStore, ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,11 +150,13 @@ def _offenders(check: str, rules: RuleBook) -> Query:
 
 
 def _counts(rules: RuleBook) -> Query:
-    return lambda spark, d: plain(validate.check_counts(sample_stages(spark, d, rules), rules))
+    return lambda spark, d: plain(
+        validate.check_counts(sample_stages(spark, d, rules), rules, rows=most_rows(spark, d))
+    )
 
 
 def _results(spark: SparkSession, directory: str, rules: RuleBook) -> DataFrame:
-    return validate.validation_results(sample_stages(spark, directory, rules), rules)
+    return validate.validation_results(sample_stages(spark, directory, rules), rules, rows=most_rows(spark, directory))
 
 
 def _gate(rules: RuleBook) -> Query:

@@ -24,7 +24,7 @@ from cartwright.sinks.history import HistoryTable
 from cartwright.sinks.landing import land, landed_schemas, part
 from cartwright.sinks.process_log import FROM_COUNTS, log_row
 from cartwright.sources.files import scan_csv
-from cartwright.sources.tables import TableStore
+from cartwright.sources.tables import TableStore, rows_of
 
 T = TypeVar("T")
 
@@ -160,8 +160,8 @@ class Pipeline:
 
         A failed gate does not stop the run; that is the caller's decision.
         """
-        rules = self.rules
-        results = validate.validation_results(self.stages(), rules, self.policy)
+        rules, stages = self.rules, self.stages()
+        results = validate.validation_results(stages, rules, self.policy, rows=rows_of(stages))
         if rules.is_v1:
             self.tables.append(results, "validation_results")
         else:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cartwright import schemas
 from cartwright.config import RuleBook
+from cartwright.sources.tables import rows_of
 
 # The clock of all sample queries.
 AS_OF = dt.date(2001, 8, 2)
@@ -111,7 +112,7 @@ SQL = {
     "shipping": SHIPPING,
 }
 
-# Tables each view reads.
+# Tables each view reads. The first is the one whose rows it is made of, so it has no more rows than that.
 INPUTS = {
     "orders": ("orders", "lineitem"),
     "customers": ("customer", "nation"),
@@ -211,17 +212,26 @@ def deliver_csv(spark: SparkSession, directory: str, domain: str, folder: str) -
     rows.select(F.concat(header, line)).write.text(folder)
 
 
+def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+
+
 def raw_views(
     spark: SparkSession, directory: str, domains: Iterable[str] = tuple(SQL)
 ) -> dict[str, DataFrame]:
     """The named raw domains over the parquet tables of ``directory``."""
     domains = tuple(domains)
     for name in {name for domain in domains for name in INPUTS[domain]}:
-        table = spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
-        table.createOrReplaceTempView(name)
+        _table(spark, directory, name).createOrReplaceTempView(name)
     return {domain: spark.sql(SQL[domain]) for domain in domains}
 
 
+def most_rows(spark: SparkSession, directory: str) -> dict[str, int]:
+    """The most rows that each raw domain, and so its stage, can have: those of the table it is made of."""
+    counts = rows_of({tables[0]: _table(spark, directory, tables[0]) for tables in INPUTS.values()})
+    return {domain: counts[tables[0]] for domain, tables in INPUTS.items()}
+
+
 def raw_view(spark: SparkSession, directory: str, domain: str) -> DataFrame:
     return raw_views(spark, directory, [domain])[domain]
 

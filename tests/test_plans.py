@@ -10,7 +10,8 @@ from cartwright.operators import enrich, joins, quality, scd2, stage, summary, v
 from cartwright.operators.joins import SkewPolicy, spread_join
 from cartwright.plans import catalog
 from cartwright.plans.catalog import sample_stages
-from cartwright.sources.sample import sample_rules
+from cartwright.sources.sample import INPUTS, most_rows, sample_rules
+from cartwright.sources.tables import rows_of
 
 RULES = sample_rules(v2_rules())
 
@@ -210,3 +211,30 @@ def test_stage_of_unknown_size_is_not_dealt(spark):
     entries = [validate._Entry(validate._ORDER, "order_id", {"shipping": 1})]
     assert joins.bytes_read(rows) == 0
     assert validate._dealt(rows, "shipping", entries) is rows
+
+
+def test_tasks_group_a_bounded_number_of_entries_however_few_bytes_rows_take(spark, monkeypatch, tmp_path):
+    spark.range(20_000).selectExpr("cast(id AS string) AS product_id").coalesce(1).write.parquet(str(tmp_path / "products"))
+    products = spark.read.parquet(str(tmp_path / "products"))
+    rows = rows_of({"products": products})
+    assert rows == {"products": 20_000}
+    entries = [validate._Entry(validate._PRODUCT, "product_id", {"products": 1})] * 4
+    monkeypatch.setattr(validate, "TASK_ENTRIES", 10_000)
+    assert joins.bytes_read(products) * 4 < validate.TASK_BYTES
+    dealt = validate._dealt(products, "products", entries, rows["products"])
+    parts = [row["count"] for row in dealt.selectExpr("spark_partition_id() AS part").groupBy("part").count().collect()]
+    assert len(parts) == 8 and 4 * max(parts) < 1.1 * validate.TASK_ENTRIES
+
+
+@pytest.mark.parametrize("name", ["v1_validation_gate", "v1_validation_results", "validation_gate"])
+def test_validation_queries_deal_by_rows(spark, data, monkeypatch, name):
+    query, rows = catalog.queries()[name], most_rows(spark, data)
+    plain = sorted(query(spark, data).collect())
+    assert all(rows[domain] >= stage.count() for domain, stage in sample_stages(spark, data, RULES).items())
+    assert rows == {domain: spark.table(tables[0]).count() for domain, tables in INPUTS.items()}
+    monkeypatch.setattr(validate, "TASK_ENTRIES", 100)
+    dealt = query(spark, data)
+    tasks = [int(n) for n in re.findall(r"RepartitionByExpression \[(?:[^\]]*)\], (\d+)", optimized(dealt))]
+    per_row = {"orders": 4, "customers": 1, "products": 4, "inventory": 1, "shipping": 1}
+    assert tasks == [-(-rows[domain] * n // 100) for domain, n in per_row.items()]
+    assert sorted(dealt.collect()) == plain
