@@ -8,7 +8,7 @@ doubles, rounded to six places where they carry more.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 from functools import reduce
 
@@ -70,8 +70,9 @@ def sample_stages(
     directory: str,
     rules: RuleBook,
     domains: tuple[str, ...] = schemas.DOMAINS,
+    rows: Mapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    raw = raw_views(spark, directory, domains)
+    raw = raw_views(spark, directory, domains, rows)
     return {domain: stage.stage_rows(raw[domain], domain, rules) for domain in domains}
 
 
@@ -150,13 +151,16 @@ def _offenders(check: str, rules: RuleBook) -> Query:
 
 
 def _counts(rules: RuleBook) -> Query:
-    return lambda spark, d: plain(
-        validate.check_counts(sample_stages(spark, d, rules), rules, rows=most_rows(spark, d))
-    )
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        rows = most_rows(spark, directory)
+        return plain(validate.check_counts(sample_stages(spark, directory, rules, rows=rows), rules, rows=rows))
+
+    return query
 
 
 def _results(spark: SparkSession, directory: str, rules: RuleBook) -> DataFrame:
-    return validate.validation_results(sample_stages(spark, directory, rules), rules, rows=most_rows(spark, directory))
+    rows = most_rows(spark, directory)
+    return validate.validation_results(sample_stages(spark, directory, rules, rows=rows), rules, rows=rows)
 
 
 def _gate(rules: RuleBook) -> Query:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import replace
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,6 +122,13 @@ INPUTS = {
     "shipping": ("orders",),
 }
 
+#: Rows of a table that one task groups, where their number is known.
+TASK_ROWS = 500_000
+
+# The keys by which a table that a view groups is dealt: orders are joined by theirs too, so it costs no further
+# exchange; a part with many rows is spread by its suppliers.
+DEALT_BY = {"orders": {"lineitem": ("l_orderkey",)}, "inventory": {"lineitem": ("l_partkey", "l_suppkey")}}
+
 
 # What is written in place of a value in the CSV files, by column and condition.
 CSV_DEFECTS: dict[str, list[tuple[str, str, str]]] = {
@@ -216,14 +224,31 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def _dealt(table: DataFrame, rows: int, keys: Iterable[str]) -> DataFrame:
+    """The rows of a large table in tasks of some ``TASK_ROWS``, whatever the size of splits and of shuffled blocks."""
+    tasks = ceil(rows / TASK_ROWS)
+    return table.repartition(tasks, *keys) if tasks > 1 else table
+
+
 def raw_views(
-    spark: SparkSession, directory: str, domains: Iterable[str] = tuple(SQL)
+    spark: SparkSession,
+    directory: str,
+    domains: Iterable[str] = tuple(SQL),
+    rows: Mapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """The named raw domains over the parquet tables of ``directory``."""
-    domains = tuple(domains)
-    for name in {name for domain in domains for name in INPUTS[domain]}:
-        _table(spark, directory, name).createOrReplaceTempView(name)
-    return {domain: spark.sql(SQL[domain]) for domain in domains}
+    """The named raw domains over the parquet tables of ``directory``.
+
+    With ``rows``, as of ``most_rows``, tables that a view groups are dealt to tasks of a bounded size before.
+    """
+    counts = {INPUTS[domain][0]: n for domain, n in (rows or {}).items()}
+    views = {}
+    for domain in domains:
+        for name in INPUTS[domain]:
+            keys = DEALT_BY.get(domain, {}).get(name, ())
+            table = _table(spark, directory, name)
+            _dealt(table, counts.get(name, 0) if keys else 0, keys).createOrReplaceTempView(name)
+        views[domain] = spark.sql(SQL[domain])
+    return views
 
 
 def most_rows(spark: SparkSession, directory: str) -> dict[str, int]:

@@ -10,6 +10,7 @@ from cartwright.operators import enrich, joins, quality, scd2, stage, summary, v
 from cartwright.operators.joins import SkewPolicy, spread_join
 from cartwright.plans import catalog
 from cartwright.plans.catalog import sample_stages
+from cartwright.sources import sample
 from cartwright.sources.sample import INPUTS, most_rows, sample_rules
 from cartwright.sources.tables import rows_of
 
@@ -238,3 +239,33 @@ def test_validation_queries_deal_by_rows(spark, data, monkeypatch, name):
     per_row = {"orders": 4, "customers": 1, "products": 4, "inventory": 1, "shipping": 1}
     assert tasks == [-(-rows[domain] * n // 100) for domain, n in per_row.items()]
     assert sorted(dealt.collect()) == plain
+
+
+@pytest.mark.parametrize("name", ["check_counts", "v1_check_counts", "v1_validation_gate", "validation_gate"])
+def test_validation_queries_deal_lineitem_before_the_views_group_it(spark, data, monkeypatch, name):
+    query, rows = catalog.queries()[name], most_rows(spark, data)["inventory"]
+    plain = sorted(query(spark, data).collect())
+    monkeypatch.setattr(sample, "TASK_ROWS", 1000)
+    dealt = query(spark, data)
+    tasks = dict(re.findall(r"RepartitionByExpression \[(l_\w+)#[^\]]*\], (\d+)", optimized(dealt)))
+    assert rows > 1000 and tasks == dict.fromkeys(["l_orderkey", "l_partkey"], str(-(-rows // 1000)))
+    assert sorted(dealt.collect()) == plain
+
+
+def test_orders_view_groups_and_joins_lineitem_where_it_was_dealt(spark, data, no_broadcast, monkeypatch):
+    plain = sample_stages(spark, data, RULES, ("orders",))["orders"]
+    monkeypatch.setattr(sample, "TASK_ROWS", 1000)
+    rows = most_rows(spark, data)
+    view = sample_stages(spark, data, RULES, ("orders",), rows)["orders"]
+    # Lineitem by its own number of tasks and orders to the same, no exchange between grouping and join.
+    assert shuffles(view) == 2
+    groups = -(-rows["inventory"] // 1000)
+    assert len(re.findall(rf"hashpartitioning\(\w_orderkey#\d+L?, {groups}\)", plan(view))) == 2
+    assert view.rdd.getNumPartitions() == groups
+    assert sorted(map(str, view.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_view_without_rows_given_reads_its_tables_as_they_lie(spark, data, monkeypatch):
+    monkeypatch.setattr(sample, "TASK_ROWS", 1000)
+    for frame in sample.raw_views(spark, data).values():
+        assert "RepartitionByExpression" not in optimized(frame)
